@@ -76,3 +76,20 @@ def latest_quotes(quotes: DataFrame, as_of=None, days: int = K.QUOTE_WINDOW_DAYS
     window = (F.col("ts") >= end - F.make_dt_interval(F.lit(days))) & (F.col("ts") <= end)
     return (quotes.where(window).groupBy("ticker")
             .agg(F.round(F.max_by("close", "ts"), 2).alias("close")))
+
+
+def run_counters(parsed: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Counters of one run - items read, outcome of parsing, signals
+    new to the store and the rest (duplicates).  Two global aggregates with
+    map-side partials, joined as one row each (no cross product of data)."""
+    c = F.col("status")
+    parts = parsed.agg(
+        F.count(F.lit(1)).alias("items_read"),
+        F.count_if(c == "ok").alias("ok"),
+        F.count_if(c == "irrelevant").alias("irrelevant"),
+        F.count_if(c == "error").alias("errors"),
+        F.count_if(c == "rejected").alias("rejected"),
+    )
+    fresh = new_rows.agg(F.count(F.lit(1)).alias("new_signals"))
+    return (parts.withColumn("_k", F.lit(1)).join(fresh.withColumn("_k", F.lit(1)), "_k").drop("_k")
+            .withColumn("duplicates", F.col("ok") - F.col("new_signals")))

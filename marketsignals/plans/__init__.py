@@ -5,7 +5,7 @@ from .registry import ORACLES, QUERIES
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import alert_queries, mart_queries, store_queries, text_queries, usage_queries  # noqa: F401
+    from . import alert_queries, extract_queries, mart_queries, store_queries, text_queries, usage_queries  # noqa: F401
 
 
 __all__ = ["QUERIES", "ORACLES", "load_all"]
