@@ -59,7 +59,7 @@ def q_dedup_against_history(spark, sf_dir):
 @query("append_signals", with_fixtures(f"""with {DEDUP_SQL}
 select cast(row_number() over (order by o1, o2, o3, o4, o5) as bigint) as id, material, material_detail,
   change_type, amount, unit, currency, region, effective_date, announcement_date, source_company, source_url,
-  confidence, summary_pl, extracted_on, cast(1 as bigint) as batch_id
+  confidence, summary_pl, extracted_on, cast(null as varchar) as amount_text, cast(1 as bigint) as batch_id
 from dedup""", "f1"))
 def q_append_signals(spark, sf_dir):
     rows = ST.dedup_batch(FX.signals_table(spark, sf_dir), FX.ORDER_COLS)

@@ -24,10 +24,12 @@ SIGNAL_FIELDS = [
 SIGNAL = T.StructType(SIGNAL_FIELDS)
 
 # Stored signals table: generated id, record, source url, run date, batch.
+# ``amount_text`` keeps the amount as the response wrote it (35 vs 35.0),
+# which the alert message prints.
 STORED_SIGNAL = T.StructType(
     [T.StructField("id", L)] + SIGNAL_FIELDS[:10]
     + [T.StructField("source_url", S)] + SIGNAL_FIELDS[10:]
-    + [T.StructField("extracted_on", S), T.StructField("batch_id", L)]
+    + [T.StructField("extracted_on", S), T.StructField("amount_text", S), T.StructField("batch_id", L)]
 )
 STORED_SIGNAL_COLUMNS = [f.name for f in STORED_SIGNAL.fields]
 
