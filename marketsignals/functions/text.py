@@ -43,8 +43,14 @@ def element_pattern(tag: str) -> str:
     return rf"(?is)<{tag}(\s[^>]*)?>.*?</{tag}\s*>"
 
 
+# The same set as literal characters, for ``trim(BOTH ... FROM ...)``.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(col: Column) -> Column:
-    return F.regexp_replace(col, EDGE_WS, "")
+    """``str.strip()``: a character-set trim (no regex scan of the body)."""
+    return F.trim(col, F.lit(WS_CHARS))
 
 
 def is_blank(col: Column) -> Column:

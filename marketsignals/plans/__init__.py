@@ -5,7 +5,7 @@ from .registry import ORACLES, QUERIES
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import (alert_queries, extract_queries, feed_queries, mart_queries,  # noqa: F401
+    from . import (alert_queries, extract_queries, feed_queries, flagship, mart_queries,  # noqa: F401
                    store_queries, text_queries, usage_queries)
 
 

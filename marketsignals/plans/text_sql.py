@@ -4,7 +4,7 @@ Spark expressions use (see functions/text.py)."""
 from __future__ import annotations
 
 from .. import constants as K
-from ..functions.text import ANCHOR, BREAK, COMMENT, EDGE_WS, ENTITIES, TAG, element_pattern
+from ..functions.text import ANCHOR, BREAK, COMMENT, ENTITIES, TAG, WS_CHARS, element_pattern
 
 
 def lit(s: str) -> str:
@@ -18,7 +18,7 @@ def unescape(x: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {lit(EDGE_WS)}, '', 'g')"
+    return f"trim({x}, {lit(WS_CHARS)})"
 
 
 def strings_of(x: str, var: str = "s") -> str:
