@@ -192,7 +192,7 @@ def test_t25_melt_and_totals(spark):
     tot = U.usage_totals(s).first()
     assert (tot.total_calls, tot.total_input, tot.total_output, tot.total_reasoning) == (3, 16, 27, 8)
     assert sum(series.values()) == tot.total_input + tot.total_output + tot.total_reasoning
-    assert [r.suma_calkowita for r in s.collect()] == [36, 15]
+    assert [r.suma_calkowita for r in s.collect()] == [30, 15, 6]  # per (process, model), largest first
 
 
 def test_o07_page_text(spark):
