@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import assemble, html_to_text, is_blank
+from ..session import spread
 from .ids import assign_ids
 
 
@@ -68,7 +69,7 @@ def enrich_items(items: DataFrame, pages: DataFrame,
     """
     short = (F.col("link") != "") & (F.length("summary") < short_chars)
     pg = pages.select(F.col("url").alias("_url"), "html")
-    j = items.join(pg, short & (F.col("link") == F.col("_url")), "left")
+    j = spread(items).join(pg, short & (F.col("link") == F.col("_url")), "left")
     body = F.when(short, F.coalesce(html_to_text(F.col("html")), F.col("summary"))).otherwise(F.col("summary"))
     return j.withColumn("text", body).drop("_url", "html")
 

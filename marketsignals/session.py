@@ -64,3 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ms-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df):
+    """Spread rows over the cluster before CPU-heavy per-row work (regex
+    rules, JSON parsing, HTML cleaning) when the input comes from fewer
+    files than there are task slots.
+
+    A large input already arrives in many splits and is left alone (no
+    extra shuffle); a few big single-row-group files would otherwise put all
+    of the per-row work into a handful of tasks.  The check reads file
+    metadata only (``inputFiles``), it runs no job.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df

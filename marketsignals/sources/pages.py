@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import absolute_url, anchors, html_to_text
+from ..session import spread
 
 
 def page_texts(pages: DataFrame, max_chars: int | None = K.PAGE_TEXT_MAX_CHARS) -> DataFrame:
     """O07 over a (url, html) table: url -> cleaned text."""
-    return pages.select("url", html_to_text(F.col("html"), max_chars=max_chars).alias("page_text"))
+    return spread(pages).select("url", html_to_text(F.col("html"), max_chars=max_chars).alias("page_text"))
 
 
 def listing_links(pages: DataFrame, source: Column,
@@ -29,7 +30,7 @@ def listing_links(pages: DataFrame, source: Column,
     kept = anchors(F.col("html"), href_substring, min_title_chars)
     if max_items:
         kept = F.slice(kept, 1, max_items)
-    return (pages.select(source.alias("source"), "page_id", F.posexplode(kept).alias("pos", "a"))
+    return (spread(pages).select(source.alias("source"), "page_id", F.posexplode(kept).alias("pos", "a"))
             .select("source", "page_id", F.col("pos").cast("bigint").alias("pos"),
                     F.col("a.title").alias("title"), F.lit("").alias("summary"),
                     absolute_url(F.col("a.href"), base).alias("link"), F.lit("").alias("published")))
@@ -38,6 +39,6 @@ def listing_links(pages: DataFrame, source: Column,
 def all_links(pages: DataFrame, base: str = K.LISTING_BASE_URL) -> DataFrame:
     """Every anchor of every page with its absolute URL (O06 on its own)."""
     arr = anchors(F.col("html"), "", 0)
-    return (pages.select("page_id", F.posexplode(arr).alias("pos", "a"))
+    return (spread(pages).select("page_id", F.posexplode(arr).alias("pos", "a"))
             .select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("a.href").alias("href"),
                     absolute_url(F.col("a.href"), base).alias("link")))
