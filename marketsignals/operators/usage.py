@@ -31,7 +31,9 @@ def capture_usage(responses: DataFrame, run_ts: Column | str | None = None,
     inp = F.coalesce(F.col("prompt_tokens").cast("bigint"), F.lit(0).cast("bigint"))
     out = F.coalesce(F.col("completion_tokens").cast("bigint"), F.lit(0).cast("bigint"))
     rea = F.coalesce(F.col("reasoning_tokens").cast("bigint"), F.lit(0).cast("bigint"))
-    keys = [c for c in responses.columns if c in ("o1", "o2", "o3", "o4", "o5", "item_key")]
+    response_cols = {"raw_output", "model", "prompt_tokens", "completion_tokens", "reasoning_tokens",
+                     "usage_present", "process"}
+    keys = [c for c in responses.columns if c not in response_cols]  # whatever identifies the item
     return responses.where(present).select(
         *keys,
         F.col("process"),

@@ -19,21 +19,21 @@ ORDER_COLS = ["o1", "o2", "o3", "o4", "o5"]
 def signals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one signal per lineitem, with NULLs and blanks in the key columns.
 
-    supplier+nation+region are joined first (the narrow side), then the
-    lineitem stream joins part and that dimension.  Join strategies are left
-    to AQE, which broadcasts a side only when its measured size is below
-    ``spark.sql.autoBroadcastJoinThreshold``.
+    Every join's build side is a base table, so Spark sizes it from its
+    files: a side below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast,
+    a large one (part, supplier at big scale factors) is a sort-merge join.
+    (Joining supplier+nation+region first would hide that: the estimate of
+    a join is the product of its inputs, which is never broadcast.)
     """
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    sup = (read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-           .join(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
-                 F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
-           .select("s_suppkey", "s_name", "r_name"))
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-         .join(sup, F.col("l_suppkey") == F.col("s_suppkey")))
+         .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+         .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     material = (F.when(F.col("p_type") == "STANDARD", "celuloza")
                 .when(F.col("p_type") == "ECONOMY", "tektura")
                 .when(F.col("p_type") == "MEDIUM", "papier")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..operators import alerts as AL
 from ..operators import extract as EX
+from ..operators import marts as M
 from ..operators import store as ST
 from ..operators import usage as U
 from ..schemas import STORED_SIGNAL
@@ -62,8 +64,10 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     # 2. usage is logged for every call, relevant or not
     usage = U.capture_usage(responses, run_ts=F.lit(cfg.run_date + " 06:00:00").cast("timestamp_ntz"))
     _overwrite_batch(usage.withColumn("batch_id", bid), cfg.table("token_usage"))
-    # 3. parse + route; refusals and errors go to the quarantine
-    parsed = EX.parse_responses(responses, run_date=cfg.run_date)
+    # 3. parse + route; refusals and errors go to the quarantine.  The routed
+    # rows feed three consumers, so they are kept for the batch; a lost
+    # executor recomputes them from the written responses table.
+    parsed = EX.parse_responses(responses, run_date=cfg.run_date).persist(StorageLevel.MEMORY_AND_DISK)
     _overwrite_batch(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output")
                      .withColumn("batch_id", bid), cfg.table("quarantine"))
     ok = EX.signals_of(parsed).select(*keys, *K.SIGNAL_KEYS, "amount_text", "extracted_on",
@@ -76,9 +80,12 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
         history = spark.createDataFrame([], STORED_SIGNAL)
     fresh = ST.new_signals(ok, history, keys)
     stored = ST.append_signals(spark, fresh, signals_path, batch_id, keys)
+    # 5. counters of the run (items read, outcomes, new signals, duplicates)
+    _overwrite_batch(M.run_counters(parsed, stored).withColumn("batch_id", bid), cfg.table("run_counters"))
+    parsed.unpersist()
     if not cfg.notify:
         return
-    # 5. alerts for exactly the rows stored by this batch
+    # 6. alerts for exactly the rows stored by this batch
     alerted = AL.with_message(AL.with_alert(stored, cfg.threshold_pct).where("alert"), amount_text="amount_text")
     outbox = AL.alert_outbox(alerted, ["id"], cfg.channels, cfg.run_date)
     _overwrite_batch(outbox.withColumn("batch_id", bid), cfg.table("alert_outbox"))

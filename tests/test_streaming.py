@@ -69,3 +69,8 @@ def test_structured_stream_available_now(spark):
     assert _stored(spark, cfg).count() > 0
     usage = spark.read.parquet(cfg.table("token_usage"))
     assert usage.count() == ann.count()  # every call is logged, relevant or not
+    counters = spark.read.parquet(cfg.table("run_counters")).collect()
+    assert len(counters) == 2
+    assert sum(r.items_read for r in counters) == ann.count()
+    assert sum(r.new_signals for r in counters) == _stored(spark, cfg).count()
+    assert all(r.ok == r.new_signals + r.duplicates for r in counters)
