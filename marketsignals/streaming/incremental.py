@@ -27,6 +27,7 @@ from ..operators import marts as M
 from ..operators import store as ST
 from ..operators import usage as U
 from ..schemas import STORED_SIGNAL
+from ..session import spread
 
 
 @dataclass
@@ -55,6 +56,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     """One run over one batch of announcements (also usable outside
     streaming, e.g. for a single daily batch)."""
     spark = batch.sparkSession
+    batch = spread(batch)  # a micro-batch of one or two files would run in one task
     keys = list(cfg.order_cols)
     bid = F.lit(batch_id).cast("bigint")
     # 1. model calls: written once, read back by every consumer
