@@ -76,7 +76,11 @@ def spread(df):
     of the per-row work into a handful of tasks.  The check reads file
     metadata only (``inputFiles``), it runs no job.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext handle (remote session)
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         files = len(df.inputFiles())
     except Exception:  # a plan without file inputs: leave it as it is
