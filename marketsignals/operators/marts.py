@@ -80,8 +80,8 @@ def latest_quotes(quotes: DataFrame, as_of=None, days: int = K.QUOTE_WINDOW_DAYS
 
 def run_counters(parsed: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Counters of one run - items read, outcome of parsing, signals
-    new to the store and the rest (duplicates).  Two global aggregates with
-    map-side partials, joined as one row each (no cross product of data)."""
+    new to the store and the rest (duplicates).  Global aggregates with
+    map-side partials; the new-signal count is a scalar subquery."""
     c = F.col("status")
     parts = parsed.agg(
         F.count(F.lit(1)).alias("items_read"),
@@ -90,6 +90,6 @@ def run_counters(parsed: DataFrame, new_rows: DataFrame) -> DataFrame:
         F.count_if(c == "error").alias("errors"),
         F.count_if(c == "rejected").alias("rejected"),
     )
-    fresh = new_rows.agg(F.count(F.lit(1)).alias("new_signals"))
-    return (parts.withColumn("_k", F.lit(1)).join(fresh.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    fresh = new_rows.agg(F.count(F.lit(1))).scalar()
+    return (parts.withColumn("new_signals", fresh)
             .withColumn("duplicates", F.col("ok") - F.col("new_signals")))
