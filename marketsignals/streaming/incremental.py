@@ -26,7 +26,6 @@ from ..operators import extract as EX
 from ..operators import marts as M
 from ..operators import store as ST
 from ..operators import usage as U
-from ..schemas import STORED_SIGNAL
 from ..session import spread
 
 
@@ -76,10 +75,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
                                       F.col(cfg.url_col).alias("source_url"))
     # 4. store what is new against every other batch
     signals_path = cfg.table("price_signals")
-    if ST.table_exists(spark, signals_path):
-        history = spark.read.schema(STORED_SIGNAL).parquet(signals_path).where(F.col("batch_id") != batch_id)
-    else:
-        history = spark.createDataFrame([], STORED_SIGNAL)
+    history = ST.init_signals_table(spark, signals_path).where(F.col("batch_id") != batch_id)
     fresh = ST.new_signals(ok, history, keys)
     stored = ST.append_signals(spark, fresh, signals_path, batch_id, keys)
     # 5. counters of the run (items read, outcomes, new signals, duplicates)
