@@ -88,3 +88,11 @@ where case when channel = 'slack' then o1 % 4 <> 0 else o2 % 3 <> 0 end""", "f1"
 def q_alert_log(spark, sf_dir):
     outbox = AL.alert_outbox(_alerted(spark, sf_dir), KEYS, K.ALERT_CHANNELS, RUN_DATE)
     return AL.alert_log(outbox, deliveries_for(outbox), KEYS, RUN_DATE)
+
+
+@query("alerts_without_channel", with_fixtures(
+    f"select count(*) as alerts_without_channel from f1 where {RULE_SQL}", "f1"))
+def q_alerts_without_channel(spark, sf_dir):
+    """O19 with no channel configured: nothing is sent, the alerts are
+    counted as a warning."""
+    return AL.alerts_without_channel(_alerted(spark, sf_dir), [])

@@ -85,6 +85,10 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
         return
     # 6. alerts for exactly the rows stored by this batch
     alerted = AL.with_message(AL.with_alert(stored, cfg.threshold_pct).where("alert"), amount_text="amount_text")
+    if not cfg.channels:  # nothing can be sent: record the warning count
+        warn = AL.alerts_without_channel(alerted, cfg.channels)
+        _overwrite_batch(warn.withColumn("batch_id", bid), cfg.table("alert_warnings"))
+        return
     outbox = AL.alert_outbox(alerted, ["id"], cfg.channels, cfg.run_date)
     _overwrite_batch(outbox.withColumn("batch_id", bid), cfg.table("alert_outbox"))
 

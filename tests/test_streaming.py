@@ -74,3 +74,12 @@ def test_structured_stream_available_now(spark):
     assert sum(r.items_read for r in counters) == ann.count()
     assert sum(r.new_signals for r in counters) == _stored(spark, cfg).count()
     assert all(r.ok == r.new_signals + r.duplicates for r in counters)
+
+
+def test_no_channel_counts_alerts(spark):
+    from marketsignals.operators import alerts as AL
+    cfg = RunConfig(root=scratch_path(spark, "nochan"), order_cols=FX.ORDER_COLS, channels=[])
+    process_batch(_landing(spark), 0, cfg)
+    warn = spark.read.parquet(cfg.table("alert_warnings")).first().alerts_without_channel
+    expected = AL.with_alert(_stored(spark, cfg)).where("alert").count()
+    assert warn == expected > 0
