@@ -27,6 +27,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda refers to it again and again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def text_key(text: Column | str) -> list[Column]:
     """128 bits that stand for a text; null and empty texts share one."""
     whole = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -43,7 +48,7 @@ def hash_bitmap(spark: SparkSession, hashes: DataFrame, col: str, bits: int = BI
     parts = (hashes.select(at.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")))
     out = np.zeros((1 << bits) // 8, np.uint8)
-    for row in parts.toLocalIterator(prefetchPartitions=False) if bits > 30 else parts.collect():
+    for row in parts.collect():     # at most 2**bits / 32768 rows of 4 KB
         i = (row["bucket"] - 1) * 4096
         out[i:i + 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out
