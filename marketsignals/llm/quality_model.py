@@ -114,7 +114,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = rows.select("text", "label", F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "id")
     # One task in a fixed order: FTRL is a sequential rule, the rows are bounded, the sort may spill.
     ordered = rows.repartition(1).sortWithinPartitions("epoch", F.xxhash64("epoch", "id"), "id", "text")
-    return np.frombuffer(ordered.select("text", "label").mapInArrow(_train, "weights binary").first()[0], np.float32)
+    row = ordered.select("text", "label").mapInArrow(_train, "weights binary").first()
+    return np.frombuffer(row[0], np.float32) if row else np.zeros((1 << BITS) + 1, np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

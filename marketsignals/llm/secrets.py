@@ -90,10 +90,12 @@ def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """(rid, weak): the weak candidates of each document that complementary parts support."""
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(F.lit(ROLE[kind]).alias("role"), F.lit(kind).alias("kind"),
+                                                    s["start"].alias("start"), s["end"].alias("end")))
+
     def listed(kinds) -> Column:
-        return F.flatten(F.array(*[F.transform(k, lambda s, k=k: F.struct(
-            F.lit(ROLE[k]).alias("role"), F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-            for k in kinds]))
+        return F.flatten(F.array(*map(named, kinds)))
 
     weak_any = sum((F.size(k) for k in WEAK), F.lit(0)) > 0
     rows = parts.where(weak_any)
@@ -129,8 +131,10 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
         return F.transform(F.array_sort(keyed), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                                    s["kind"].alias("kind")))
 
-    base = F.flatten(F.array(*[F.transform(k, lambda s, k=k: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind"))) for k in BASE]))
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
+    base = F.flatten(F.array(*map(named, BASE)))
     out = parts.join(_linked(parts, scope), "rid", "left").withColumn("base", ordered(base))
     extra = F.coalesce("weak", F.expr("cast(array() as array<struct<start:int,end:int,kind:string>>)"))
     return out.select("doc_id", "base", F.when(F.size(extra) > 0, ordered(F.concat("base", extra))).otherwise(F.col("base"))

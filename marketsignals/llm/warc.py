@@ -139,9 +139,9 @@ def captures(records: DataFrame) -> DataFrame:
     main = records.where(F.col("type").isin("response", "revisit"))
     side = records.where(F.col("type").isin("request", "metadata") & F.col("concurrent_to").isNotNull())
     # More than one request or metadata record: the one with the smallest id.
-    parts = side.groupBy("concurrent_to").agg(*[F.min(F.when(F.col("type") == t, F.struct(
+    parts = side.groupBy(F.col("concurrent_to").alias("its_record")).agg(*[F.min(F.when(F.col("type") == t, F.struct(
         "record_id", "block"))).alias(t) for t in ("request", "metadata")])
-    joined = main.join(parts, main.record_id == parts.concurrent_to, "left").drop(parts.concurrent_to)
+    joined = main.join(parts, F.col("record_id") == F.col("its_record"), "left")
     page = F.regexp_extract(F.col("metadata.block").cast("string"), r"pageId: ([^\r\n]+)", 1)
     joined = joined.withColumn("page_id", F.when(page != "", page).cast("long"))
     # What revisits point to: the response of each digest, which for stored copies is one.

@@ -46,11 +46,11 @@ def test_taken_words_come_near_the_target(spark):
 
 
 def test_mixed_documents_are_the_copies(spark, edge):
-    copies = {(r.doc_id, r.size): r.copies for r in mixing.mix_sources(edge).collect()}
+    copies = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix_sources(edge).collect()}
     out = mixing.mixed_documents(edge)
     assert out.columns == [*edge.columns, "copy"]
-    n = Counter((r.doc_id, len(brute.words(r.text))) for r in out.collect())
-    rows = Counter((r.doc_id, len(brute.words(r.text))) for r in edge.collect())
+    n = Counter((r.doc_id, r.source, len(brute.words(r.text))) for r in out.collect())
+    rows = Counter((r.doc_id, r.source, len(brute.words(r.text))) for r in edge.collect())
     assert n == Counter({k: rows[k] * copies[k] for k in rows if copies[k]})
 
 
