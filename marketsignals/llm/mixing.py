@@ -113,7 +113,7 @@ levels AS (
   SELECT *, ((sum(s) OVER () - coalesce(sum(3 * s) OVER (ORDER BY 3 * s / w::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
     / sum(w) OVER (ORDER BY 3 * s / w::DOUBLE, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE) AS level
   FROM sums),
-chosen AS (SELECT min(level) AS level FROM levels WHERE NOT level * w > 3 * s),
+chosen AS (SELECT level FROM levels WHERE NOT level * w > 3 * s ORDER BY 3 * s / w::DOUBLE, source NULLS LAST LIMIT 1),
 rates AS (
   SELECT source, s, least(c.level * w, 3 * s::DOUBLE) AS target,
          CASE WHEN s > 0 THEN least(c.level * w, 3 * s::DOUBLE) / s ELSE 0 END AS rate
