@@ -122,6 +122,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     work = docs.select(F.col(doc_id).alias("doc_id"), *text_key(text), F.col(text).alias("text"))
     base = materialize(_fingerprints(work, sizes, window, wanted)
                        .withColumn("rid", F.monotonically_increasing_id()), "doc_prints")
+    wanted.destroy()
     cand = base.where(F.size("runs") > 0).select("rid", F.inline("runs"))
     pairs = cand.join(F.broadcast(grams) if held <= BROADCAST_BYTES else grams,
                       [cand.h == grams.h, cand.size == grams.b_size])
