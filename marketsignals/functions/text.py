@@ -6,7 +6,9 @@ The regular expressions are written so the same text runs on Java regex
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,21 +18,10 @@ from .. import constants as K
 # FIXED VALUES — the characters ``str.strip()`` removes (str.isspace).
 WS = (r"[\t\n\x0B\x0C\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-EDGE_WS = f"^{WS}+|{WS}+$"
-
-# FIXED VALUES — character references decoded in page text, '&amp;' last so
-# that an escaped reference ('&amp;lt;') stays literal text.
-ENTITIES = [
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+
+# Named character references with a semicolon, from the standard library's table.
+_NAMED = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 TAG = r"<[^>]+>"
 COMMENT = r"(?s)<!--.*?-->"
@@ -59,7 +50,25 @@ def is_blank(col: Column) -> Column:
 
 
 def unescape(col: Column) -> Column:
-    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, col)
+    """Decode named (with semicolon) and numeric character references, each
+    once: ``&amp;lt;`` stays ``&lt;``.  Unknown references stay as written."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def code_point(n: Column) -> Column:
+        valid = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    def decoded(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, _REFERENCE, 1)
+        value = (F.when(ref.rlike("^#[xX]"), code_point(F.conv(F.substr(ref, F.lit(3)), 16, 10).cast("int")))
+                 .when(ref.startswith("#"), code_point(F.substr(ref, F.lit(2)).cast("int")))
+                 .otherwise(F.element_at(named, ref)))
+        rest = F.substr(piece, F.length(ref) + 2)
+        return F.when((ref == "") | value.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(value, rest))
+
+    pieces = F.split(col, "&")
+    whole = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, 2, 1 << 30), decoded), ""))
+    return F.when(F.contains(col, F.lit("&")), whole).otherwise(col)
 
 
 def strings_of(html: Column) -> Column:
@@ -70,10 +79,10 @@ def strings_of(html: Column) -> Column:
 
 
 def html_to_text(html: Column, removed: list[str] = K.REMOVED_ELEMENTS,
-                 max_chars: int | None = K.PAGE_TEXT_MAX_CHARS) -> Column:
+                 max_chars: int | None = None) -> Column:
     """Drop comments and the ``removed`` elements with their content,
-    then join the remaining text nodes with newlines; keep the first
-    ``max_chars`` characters (code points)."""
+    then join the remaining text nodes with newlines.  ``max_chars`` keeps
+    the first characters (code points) for callers that ask for it."""
     body = F.regexp_replace(html, COMMENT, BREAK)
     for tag in removed:
         body = F.regexp_replace(body, element_pattern(tag), BREAK)
@@ -81,20 +90,25 @@ def html_to_text(html: Column, removed: list[str] = K.REMOVED_ELEMENTS,
     return F.substring(text, 1, max_chars) if max_chars else text
 
 
-ANCHOR = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a\s*>'
+# An anchor element: its attributes (quoted values may hold '>') and its content.
+ANCHOR = r"""(?is)<a(\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>(.*?)</a\s*>"""
+# href as an attribute of its own, double-quoted, single-quoted or bare.
+HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def anchors(html: Column, href_substring: str = K.LISTING_HREF_SUBSTRING,
             min_title_chars: int = K.LISTING_MIN_TITLE_CHARS) -> Column:
-    """O05 (per page): ARRAY<STRUCT<href, title>> of the anchors whose href
-    contains ``href_substring`` and whose text (stripped strings joined
-    without separator) has at least ``min_title_chars`` characters, in
-    document order.  Computed inside the row: no shuffle, no window."""
-    hrefs = F.regexp_extract_all(html, F.lit(ANCHOR), 1)
-    inner = F.regexp_extract_all(html, F.lit(ANCHOR), 2)
-    pairs = F.arrays_zip(hrefs.alias("href"), inner.alias("inner"))
+    """O05 (per page): ARRAY<STRUCT<href, title>> of the anchors outside
+    comments whose href contains ``href_substring`` and whose text (stripped
+    strings joined without separator) has at least ``min_title_chars``
+    characters, in document order.  Computed inside the row: no shuffle, no
+    window."""
+    body = F.regexp_replace(html, COMMENT, BREAK)
+    attributes = F.regexp_extract_all(body, F.lit(ANCHOR), 1)
+    inner = F.regexp_extract_all(body, F.lit(ANCHOR), 2)
+    pairs = F.filter(F.arrays_zip(attributes.alias("attr"), inner.alias("inner")), lambda p: p["attr"].rlike(HREF))
     items = F.transform(pairs, lambda p: F.struct(
-        unescape(p["href"]).alias("href"),
+        unescape(F.concat(*[F.regexp_extract(p["attr"], HREF, g) for g in (1, 2, 3)])).alias("href"),
         F.array_join(strings_of(p["inner"]), "").alias("title")))
     return F.filter(items, lambda a: F.contains(a["href"], F.lit(href_substring))
                     & (F.length(a["title"]) >= min_title_chars))

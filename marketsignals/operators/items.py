@@ -3,11 +3,11 @@ page enrichment and text assembly."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import assemble, html_to_text, is_blank
+from ..functions.text import assemble, html_to_text
 from .ids import assign_ids
 
 
@@ -26,32 +26,35 @@ def first_n_per_source(items: DataFrame, n: int = K.FEED_MAX_ITEMS,
     return out.drop("_rn")
 
 
-def source_registry(*item_tables: DataFrame) -> DataFrame:
-    """(source, source_ord) for the sources of the given tables, ordered by
-    name; ranks come from the distributed id assignment, not a one-task
-    window."""
-    names = None
-    for t in item_tables:
-        s = t.select("source")
-        names = s if names is None else names.unionByName(s)
-    return assign_ids(names.distinct(), ["source"], id_col="source_ord", checkpoint=False)
+def source_registry(spark: SparkSession, sources: list[str]) -> DataFrame:
+    """(source, source_ord): the registered sources in the order in which
+    they are read.  The list is a parameter of the run, not data."""
+    return spark.createDataFrame([(s, i) for i, s in enumerate(sources, 1)], "source string, source_ord long")
 
 
-def union_sources(primary: DataFrame, registry: DataFrame, n: int = K.FEED_MAX_ITEMS) -> DataFrame:
-    """First ``n`` items of every registered source, tagged with the
-    source's registry position (the order in which sources are read)."""
-    return first_n_per_source(primary, n).join(registry, "source")
+def union_sources(primary: DataFrame, registry: DataFrame, n: int | None = None) -> DataFrame:
+    """The items of every registered source, tagged with the source's
+    registry position; ``n`` composes O02 in front."""
+    return (first_n_per_source(primary, n) if n else primary).join(registry, "source")
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame, registry: DataFrame,
-                  n_primary: int = K.FEED_MAX_ITEMS, n_fallback: int = K.LISTING_MAX_ITEMS,
+                  n_primary: int | None = None, n_fallback: int | None = None,
                   fallback_order: list[str] = ("pos",)) -> DataFrame:
-    """Sources with zero primary items take their listing items (first
-    ``n_fallback``); everything keeps the registry's source name."""
+    """Sources with zero primary items take their listing items, which
+    are numbered anew per source; everything keeps the registry's source
+    name.  ``n_primary`` and ``n_fallback`` compose O02 per side."""
     main = union_sources(primary, registry, n_primary)
     have = primary.select("source").distinct()
-    spare = first_n_per_source(fallback.join(have, "source", "left_anti"), n_fallback,
-                               list(fallback_order), renumber=True)
+    spare = fallback.join(have, "source", "left_anti")
+    order = list(fallback_order)
+    if n_fallback:
+        spare = first_n_per_source(spare, n_fallback, order, renumber=True)
+    else:
+        spare = spare.withColumn("pos", F.struct(*order))
+        place = assign_ids(spare, ["source", "pos"], base=-1, id_col="_at")
+        first = place.groupBy("source").agg(F.min("_at").alias("_first"))
+        spare = place.join(first, "source").withColumn("pos", F.col("_at") - F.col("_first"))
     spare = spare.select(*primary.columns).join(registry, "source")
     return main.unionByName(spare, allowMissingColumns=True)
 
@@ -62,22 +65,21 @@ def enrich_items(items: DataFrame, pages: DataFrame,
     read the landed page's text instead; a missing page keeps the summary,
     a page whose text is empty replaces it with ''.
 
-    The shortness condition sits in the join condition, so long-summary
-    items need no page, and the HTML-to-text regex chain runs after the
-    join only on the pages that matched (project url + html first).
+    Items that need no page (all the empty links among them) stay out of the
+    join.  Only pages that some item needs are cleaned, and a URL that was
+    landed more than once counts once, with the smallest of its texts.
     """
-    short = (F.col("link") != "") & (F.length("summary") < short_chars)
-    pg = pages.select(F.col("url").alias("_url"), "html")
-    j = items.join(pg, short & (F.col("link") == F.col("_url")), "left")
-    body = F.when(short, F.coalesce(html_to_text(F.col("html")), F.col("summary"))).otherwise(F.col("summary"))
-    return j.withColumn("text", body).drop("_url", "html")
+    short = F.coalesce((F.col("link") != "") & (F.length("summary") < short_chars), F.lit(False))
+    rest = items.where(~short).withColumn("text", F.col("summary"))
+    asking = items.where(short)
+    needed = asking.select(F.col("link").alias("url")).distinct()
+    texts = (pages.select("url", "html").join(needed, "url", "left_semi")
+             .groupBy(F.col("url").alias("_url")).agg(F.min(html_to_text(F.col("html"))).alias("_page")))
+    found = asking.join(texts, F.col("link") == F.col("_url"), "left")
+    found = found.withColumn("text", F.coalesce("_page", "summary")).drop("_url", "_page")
+    return rest.unionByName(found)
 
 
 def assembled_text(enriched: DataFrame) -> DataFrame:
     """The text handed to extraction."""
     return enriched.withColumn("full_text", assemble(F.col("title"), F.col("text")))
-
-
-def non_blank(df: DataFrame, col: str) -> DataFrame:
-    """O12 as a filter."""
-    return df.where(~is_blank(F.col(col)))

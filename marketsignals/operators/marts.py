@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..schemas import SIGNAL_FIELDS
+from .store import KEY, key_complete
 
 
 def signal_history(signals: DataFrame, material: str = K.ALL_MATERIALS,
@@ -60,7 +61,11 @@ def signals_json(signals: DataFrame, keep: list[str] | None = None) -> DataFrame
     """Each signal rendered as a JSON object with every field, NULLs
     written as ``null``."""
     fields = [f.name for f in SIGNAL_FIELDS] + (["extracted_on"] if "extracted_on" in signals.columns else [])
-    js = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    cols = [F.col(f) for f in fields]
+    if "amount_text" in signals.columns:  # the amount as the response wrote it (35, not 35.0)
+        amount = F.coalesce(F.try_parse_json("amount_text"), F.col("amount").cast("variant")).alias("amount")
+        cols = [amount if f == "amount" else F.col(f) for f in fields]
+    js = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     return signals.select(*(keep or []), js.alias("signal_json"))
 
 
@@ -75,21 +80,31 @@ def latest_quotes(quotes: DataFrame, as_of=None, days: int = K.QUOTE_WINDOW_DAYS
     end = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else quotes.agg(F.max("ts")).scalar()
     window = (F.col("ts") >= end - F.make_dt_interval(F.lit(days))) & (F.col("ts") <= end)
     return (quotes.where(window).groupBy("ticker")
-            .agg(F.round(F.max_by("close", "ts"), 2).alias("close")))
+            .agg(F.round(F.max(F.struct("ts", "close"))["close"], 2).alias("close")))
 
 
-def run_counters(parsed: DataFrame, new_rows: DataFrame) -> DataFrame:
+def run_counters(parsed: DataFrame, new_rows: DataFrame | None = None) -> DataFrame:
     """Counters of one run - items read, outcome of parsing, signals
-    new to the store and the rest (duplicates).  Global aggregates with
-    map-side partials; the new-signal count is a scalar subquery."""
+    new to the store and the rest (duplicates).
+
+    With the rows that were stored, they are counted in a scalar subquery.
+    Without (nothing stored before), new signals follow from the same single
+    pass: ``ok`` rows with an open key, plus distinct complete keys.
+    """
     c = F.col("status")
-    parts = parsed.agg(
+    ok = c == "ok"
+    parts = [
         F.count(F.lit(1)).alias("items_read"),
-        F.count_if(c == "ok").alias("ok"),
+        F.count_if(ok).alias("ok"),
         F.count_if(c == "irrelevant").alias("irrelevant"),
         F.count_if(c == "error").alias("errors"),
         F.count_if(c == "rejected").alias("rejected"),
-    )
-    fresh = new_rows.agg(F.count(F.lit(1))).scalar()
-    return (parts.withColumn("new_signals", fresh)
-            .withColumn("duplicates", F.col("ok") - F.col("new_signals")))
+    ]
+    if new_rows is not None:
+        out = parsed.agg(*parts).withColumn("new_signals", new_rows.agg(F.count(F.lit(1))).scalar())
+    else:
+        complete = key_complete()
+        key = F.when(ok & complete, F.struct(*KEY))
+        out = parsed.agg(*parts, (F.count_if(ok & ~complete & F.col("material").isNotNull())
+                                  + F.count_distinct(key)).alias("new_signals"))
+    return out.withColumn("duplicates", F.col("ok") - F.col("new_signals"))

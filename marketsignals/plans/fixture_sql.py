@@ -27,7 +27,7 @@ join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionke
 """
 
 F2 = """
-select source, doc_id as pos, substring(text, 1, 60) as title, substring(text, 1, cast(50 + doc_id % 300 as int)) as summary,
+select source, doc_id as pos, split_part(text, chr(10), 1) as title, text as summary,
   case when doc_id % 7 = 0 then '' when url is null then 'http://missing.example/' || cast(doc_id as string) else url end as link,
   '' as published
 from documents left join pages on page_id = doc_id
@@ -41,13 +41,23 @@ from events
 """
 
 F4 = """
-select o1, o2, o3, o4, o5, 'Komunikat prasowy — ' || source_company || ', ' || announcement_date || chr(10) || source_company || ' informuje o '
-  || case change_type when 'podwyzka' then 'podwyżce' when 'obnizka' then 'obniżce' else 'utrzymaniu' end || ' cen: ' || material
-  || ' o ' || cast(cast(amount as int) as string) || case unit when 'procent' then '%' else ' EUR/t' end
-  || ' w regionie ' || region || '. Nowe ceny od ' || effective_date || '.' as text,
-  material, change_type, amount, unit, region, effective_date, announcement_date, source_company
-from f1 where source_company is not null and announcement_date is not null and amount is not null
-  and region is not null and effective_date is not null
+select o1, o2, o3, o4, o5,
+  case when o1 % 4 = 1 then 'Press release' else 'Komunikat prasowy' end || coalesce(' — ' || source_company, '')
+  || coalesce(', ' || announcement_date, '') || chr(10)
+  || case when o1 % 4 = 1 then coalesce(source_company, 'The producer') || ' announces '
+       || case change_type when 'podwyzka' then 'an increase' when 'obnizka' then 'a decrease' else 'unchanged prices' end
+       || coalesce(' of ' || case unit when 'procent' then cast(cast(amount as int) as string) || '%'
+                                       else '€' || cast(cast(amount as int) as string) || ' per tonne' end, '')
+       || ' for ' || case material when 'celuloza' then 'pulp' when 'tektura' then 'containerboard' when 'papier' then 'paper'
+                                   else material end
+       || coalesce(' in the ' || region || ' region', '') || coalesce(', effective ' || effective_date, '') || '.'
+     else coalesce(source_company, 'Producent') || ' informuje o '
+       || case change_type when 'podwyzka' then 'podwyżce' when 'obnizka' then 'obniżce' else 'utrzymaniu' end || ' cen: ' || material
+       || coalesce(' o ' || cast(cast(amount as int) as string) || case unit when 'procent' then '%' else ' EUR/t' end, '')
+       || coalesce(' w regionie ' || region, '') || '.' || coalesce(' Nowe ceny od ' || effective_date || '.', '') end as text,
+  material, change_type, amount, case when amount is not null then unit end as unit, region, effective_date, announcement_date,
+  source_company
+from f1
 """
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_any, is_blank
+from ..functions.text import contains_any, html_to_text, is_blank
 from ..operators import items as IT
 from ..sources import fixtures as FX
 from ..sources import pages as PG
@@ -34,7 +34,7 @@ _LISTING_SOURCE_SQL = f"'src' || cast(page_id % {LISTING_SOURCES} as varchar)"
 @query("page_text", f"select page_id, url, {X.html_to_text('html')} as page_text from pages")
 def q_page_text(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", "url", PG.html_to_text(F.col("html")).alias("page_text"))
+    return pages.select("page_id", "url", html_to_text(F.col("html")).alias("page_text"))
 
 
 @query("listing_links", f"""with {X.anchors_cte('a', 'url', HREF_SUBSTRING, MIN_TITLE)}
@@ -75,45 +75,38 @@ def q_first_n_per_source(spark, sf_dir):
     return IT.first_n_per_source(FX.items_table(spark, sf_dir), 5)
 
 
-_REGISTRY = f"""{X.anchors_cte('la', _LISTING_SOURCE_SQL, HREF_SUBSTRING, MIN_TITLE)},
-listing as (select source, page_id, pos, title, '' as summary, {X.absolute('href')} as link, '' as published from la),
-registry as (
-  select source, cast(dense_rank() over (order by source) as bigint) as source_ord
-  from (select source from f2 union select source from listing))"""
+# The registered sources in reading order.
+SOURCES = [f"src{i}" for i in reversed(range(LISTING_SOURCES))]
+_REGISTRY = "registry(source, source_ord) as (values " + ", ".join(f"('{s}', {i}::bigint)" for i, s in enumerate(SOURCES, 1)) + ")"
+_LISTING = f"""{X.anchors_cte('la', _LISTING_SOURCE_SQL, HREF_SUBSTRING, MIN_TITLE)},
+listing as (select source, page_id, pos, title, '' as summary, {X.absolute('href')} as link, '' as published from la)"""
 
 
-def _registry_inputs(spark, sf_dir):
-    items = FX.items_table(spark, sf_dir)
-    pages = read_table(spark, sf_dir, "pages")
-    listing = PG.listing_links(pages, _listing_source(), HREF_SUBSTRING, MIN_TITLE, None)
-    return items, listing, IT.source_registry(items, listing)
-
-
-@query("union_sources", with_fixtures(f"""with {_FIRST5}, {_REGISTRY}
-select first5.*, registry.source_ord from first5 join registry using (source)""", "f2"))
+@query("union_sources", with_fixtures(f"with {_REGISTRY} select f2.*, registry.source_ord from f2 join registry using (source)",
+                                      "f2"))
 def q_union_sources(spark, sf_dir):
-    items, _, registry = _registry_inputs(spark, sf_dir)
-    return IT.union_sources(items, registry, 5)
+    return IT.union_sources(FX.items_table(spark, sf_dir), IT.source_registry(spark, SOURCES))
 
 
-@query("source_fallback", with_fixtures(f"""with {_FIRST5}, {_REGISTRY},
+@query("source_fallback", with_fixtures(f"""with {_REGISTRY}, {_LISTING},
 spare as (
-  select source, cast(rn - 1 as bigint) as pos, title, summary, link, published from (
-    select *, row_number() over (partition by source order by page_id, pos) as rn
-    from listing where source not in (select source from f2)) where rn <= 15)
-select first5.*, registry.source_ord from first5 join registry using (source)
+  select source, row_number() over (partition by source order by page_id, pos) - 1 as pos, title, summary, link, published
+  from listing where source not in (select source from f2))
+select f2.*, registry.source_ord from f2 join registry using (source)
 union all
 select spare.*, registry.source_ord from spare join registry using (source)""", "f2"))
 def q_source_fallback(spark, sf_dir):
-    items, listing, registry = _registry_inputs(spark, sf_dir)
-    return IT.with_fallback(items, listing, registry, 5, 15, ["page_id", "pos"])
+    listing = PG.listing_links(read_table(spark, sf_dir, "pages"), _listing_source(), HREF_SUBSTRING, MIN_TITLE, None)
+    return IT.with_fallback(FX.items_table(spark, sf_dir), listing, IT.source_registry(spark, SOURCES),
+                            fallback_order=["page_id", "pos"])
 
 
 _ENRICH = f"""enriched as (
   select f2.source, f2.pos, f2.title, f2.link,
     case when f2.link <> '' and length(f2.summary) < 200
-         then coalesce({X.html_to_text('p.html')}, f2.summary) else f2.summary end as text
-  from f2 left join pages p on f2.link <> '' and length(f2.summary) < 200 and f2.link = p.url)"""
+         then coalesce(p.page, f2.summary) else f2.summary end as text
+  from f2 left join (select url, min({X.html_to_text('html')}) as page from pages group by url) p
+    on f2.link <> '' and length(f2.summary) < 200 and f2.link = p.url)"""
 
 
 @query("enrich_items", with_fixtures(f"with {_ENRICH} select * from enriched", "f2"))

@@ -29,7 +29,7 @@ def build_session(master: str = "local[8]", app: str = "marketsignals",
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("MS_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("MS_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -42,8 +42,9 @@ def build_session(master: str = "local[8]", app: str = "marketsignals",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when nothing is set
-    (a bare test session) is a fresh local folder created.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only a local session may go
+    without: it gets a fresh local folder, which would be the driver's alone
+    on a cluster.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,42 +52,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ms-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint location.
 
     Sinks and lineage cuts write here instead of a machine-local temp
-    folder, so every executor (and a retried task) sees the same files.
+    folder, so every executor (and a retried task) sees the same files.  The
+    session's scratch goes when its JVM ends.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ms-scratch/{name}-{uuid.uuid4().hex}"
-
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ms-scratch"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
-def spread(df):
-    """Spread rows over the cluster before CPU-heavy per-row work (regex
-    rules, JSON parsing, HTML cleaning) when the input comes from fewer
-    files than there are task slots.
-
-    A large input already arrives in many splits and is left alone (no
-    extra shuffle); a few big single-row-group files would otherwise put all
-    of the per-row work into a handful of tasks.  The check reads file
-    metadata only (``inputFiles``), it runs no job.
-    """
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext handle (remote session)
-        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        files = len(df.inputFiles())
-    except Exception:  # a plan without file inputs: leave it as it is
-        return df
-    if files < slots:
-        # hash of the whole row: deterministic on retry without the local
-        # sort a round-robin repartition needs
-        return df.repartition(slots, *df.columns)
-    return df

@@ -72,15 +72,16 @@ def signals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """announcement items, one per document; links point at pages."""
+    """announcement items, one per document (title: its first line,
+    summary: its whole text); links point at pages."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     j = docs.join(pages, F.col("page_id") == F.col("doc_id"), "left")
     return j.select(
         "source",
         F.col("doc_id").alias("pos"),
-        F.substring("text", 1, 60).alias("title"),
-        F.expr("substring(text, 1, cast(50 + doc_id % 300 as int))").alias("summary"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text").alias("summary"),
         F.when(F.col("doc_id") % 7 == 0, "")
          .when(F.col("url").isNull(), F.concat(F.lit("http://missing.example/"), F.col("doc_id").cast("string")))
          .otherwise(F.col("url")).alias("link"),
@@ -108,25 +109,67 @@ def _inflect(change_type: Column) -> Column:
             .when(change_type == "obnizka", "obniżce").otherwise("utrzymaniu"))
 
 
+# English words of the generated announcements.
+_ENGLISH = {"celuloza": "pulp", "tektura": "containerboard", "papier": "paper"}
+
+
+def _if(value: Column, *parts) -> Column:
+    """A phrase that is left out when its value is not known."""
+    return F.when(value.isNotNull(), F.concat(*parts)).otherwise(F.lit(""))
+
+
 def announcements_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """announcement texts generated from complete signals, with the
-    generating columns kept as ground truth for extraction."""
+    """one announcement text per signal, three in four Polish, the others
+    English; phrases of unknown fields are left out.  The generating columns
+    are kept as ground truth for extraction."""
     f1 = signals_table(spark, sf_dir)
     c = F.col
-    text = F.concat(
-        F.lit("Komunikat prasowy — "), c("source_company"), F.lit(", "), c("announcement_date"),
-        F.lit("\n"), c("source_company"), F.lit(" informuje o "), _inflect(c("change_type")),
-        F.lit(" cen: "), c("material"), F.lit(" o "), c("amount").cast("int").cast("string"),
-        F.when(c("unit") == "procent", "%").otherwise(" EUR/t"),
-        F.lit(" w regionie "), c("region"), F.lit(". Nowe ceny od "), c("effective_date"), F.lit("."),
-    )
-    complete = (c("source_company").isNotNull() & c("announcement_date").isNotNull()
-                & c("amount").isNotNull() & c("region").isNotNull() & c("effective_date").isNotNull())
-    return f1.where(complete).select(
-        *ORDER_COLS, text.alias("text"), "material", "change_type", "amount", "unit", "region",
+    lit = F.lit
+    amount = c("amount").cast("int").cast("string")
+    head = F.concat(_if(c("source_company"), lit(" — "), c("source_company")),
+                    _if(c("announcement_date"), lit(", "), c("announcement_date")), lit("\n"))
+    polish = F.concat(
+        lit("Komunikat prasowy"), head, F.coalesce("source_company", lit("Producent")), lit(" informuje o "),
+        _inflect(c("change_type")), lit(" cen: "), c("material"),
+        _if(c("amount"), lit(" o "), amount, F.when(c("unit") == "procent", "%").otherwise(" EUR/t")),
+        _if(c("region"), lit(" w regionie "), c("region")), lit("."),
+        _if(c("effective_date"), lit(" Nowe ceny od "), c("effective_date"), lit(".")))
+    noun = (F.when(c("change_type") == "podwyzka", "an increase").when(c("change_type") == "obnizka", "a decrease")
+            .otherwise("unchanged prices"))
+    english = F.concat(
+        lit("Press release"), head, F.coalesce("source_company", lit("The producer")), lit(" announces "), noun,
+        _if(c("amount"), lit(" of "), F.when(c("unit") == "procent", F.concat(amount, lit("%")))
+            .otherwise(F.concat(lit("€"), amount, lit(" per tonne")))),
+        lit(" for "), F.coalesce(F.create_map(*[lit(x) for kv in _ENGLISH.items() for x in kv])[c("material")], c("material")),
+        _if(c("region"), lit(" in the "), c("region"), lit(" region")),
+        _if(c("effective_date"), lit(", effective "), c("effective_date")), lit("."))
+    return f1.select(
+        *ORDER_COLS, F.when(c("o1") % 4 == 1, english).otherwise(polish).alias("text"), "material", "change_type", "amount",
+        F.when(c("amount").isNotNull(), c("unit")).alias("unit"), "region",
         "effective_date", "announcement_date", "source_company")
 
 
+def announcement_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(items, pages) that carry the announcements of F4.  The title is
+    the text's first line, the body its rest: in the item's summary, or for
+    every fifth order behind the item's link, as a page.  The uniqueness key
+    of the signal goes along, for dealing items to files."""
+    f4 = announcements_table(spark, sf_dir)
+    title = F.substring_index("text", "\n", 1)
+    body = F.substr("text", F.length(title) + 2)
+    linked = F.col("o1") % 5 == 0
+    url = F.concat(F.lit("https://example.org/n/"), F.concat_ws("-", *[F.col(o).cast("string") for o in ORDER_COLS[:4]]))
+    source = F.concat(F.lit("s"), (F.col("o1") % len(RUN_SOURCES)).cast("string"))
+    items = f4.select(source.alias("source"), *ORDER_COLS, title.alias("title"), F.when(linked, "").otherwise(body).alias("summary"),
+                      url.alias("link"), F.lit("").alias("published"), "material", "source_company", "effective_date", "amount")
+    html = F.concat(F.lit("<html><head><style>p{}</style></head><body><nav>menu</nav><p>"), body, F.lit("</p></body></html>"))
+    return items, f4.where(linked).select(url.alias("url"), html.alias("html"))
+
+
+# Sources of F7 in the order in which a run reads them.
+RUN_SOURCES = ["s2", "s0", "s1"]
+
+
 def _q(col: Column) -> Column:
     """JSON string literal of a column, or ``null``."""
     return F.coalesce(F.concat(F.lit('"'), col, F.lit('"')), F.lit("null"))

@@ -6,12 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import absolute_url, anchors, html_to_text
-
-
-def page_texts(pages: DataFrame, max_chars: int | None = K.PAGE_TEXT_MAX_CHARS) -> DataFrame:
-    """O07 over a (url, html) table: url -> cleaned text."""
-    return pages.select("url", html_to_text(F.col("html"), max_chars=max_chars).alias("page_text"))
+from ..functions.text import absolute_url, anchors
 
 
 def listing_links(pages: DataFrame, source: Column,

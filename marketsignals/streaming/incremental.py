@@ -1,21 +1,24 @@
 """The daily run as an incremental Structured Streaming job.
 
-New announcement files land in a folder; each micro-batch extracts, parses,
-stores only signals that are new against everything stored (uniqueness is
-eternal and NULL-aware, so this is an anti-join on the table, not a
-watermark-bounded dedup), and raises alerts for exactly the rows it stored.
-
-Every table is partitioned by ``batch_id`` and written with dynamic
-partition overwrite, and history excludes the current batch: a replayed
-micro-batch (restart after failure) rewrites its own partitions and yields
-the same rows instead of appending twice.
+New announcement items land in a folder; each micro-batch gets the registered
+sources' order, enriches short items from the landed pages, assembles the texts,
+extracts, parses, stores only signals that are new against everything stored
+(uniqueness is eternal and NULL-aware, so this is an anti-join on the table, not
+a watermark-bounded dedup), and raises alerts for exactly the rows it stored.
+
+Every table is partitioned by ``batch_id``; a batch replaces its partition, also
+by no rows.  History and ids look at earlier batches only, and model responses
+that a batch committed are read again instead of asked for again: a replayed
+micro-batch (restart after failure) gives the same rows with the same ids.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +26,12 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..operators import alerts as AL
 from ..operators import extract as EX
+from ..operators import items as IT
 from ..operators import marts as M
 from ..operators import store as ST
 from ..operators import usage as U
-from ..session import spread
+from ..operators.ids import assign_ids
+from ..schemas import TOKEN_USAGE
 
 
 @dataclass
@@ -35,62 +40,105 @@ class RunConfig:
     order_cols: list[str]          # feed order (first writer wins)
     text_col: str = "text"
     url_col: str = "source_url"
-    run_date: str = "2026-01-01"
+    run_date: str | None = None    # None: the day on which a batch runs
     notify: bool = True
     channels: list[str] = field(default_factory=lambda: list(K.ALERT_CHANNELS))
     threshold_pct: float = K.ALERT_THRESHOLD_PCT
     backend: object = None
     process: str = K.PROCESS_AUTOMATIC
+    partitions: int | None = None  # tasks for the extraction of a batch
+    # The full daily run: batches hold items (source, title, summary, link and
+    # the order columns after source_ord), which are made to texts first.
+    sources: list[str] | None = None   # registered sources in reading order
+    pages: str | None = None           # Parquet table of landed pages (url, html)
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _overwrite_batch(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+def texts_of(items: DataFrame, pages: DataFrame, sources: list[str]) -> DataFrame:
+    """Items of the registered sources with source_ord and the
+    assembled ``text``; the link is their ``source_url``."""
+    registered = IT.union_sources(items, IT.source_registry(items.sparkSession, sources))
+    ready = IT.assembled_text(IT.enrich_items(registered, pages).withColumnRenamed("link", "source_url"))
+    return ready.drop("text").withColumnRenamed("full_text", "text")
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Whether a ledger entry was written (it is one row, after its table)."""
+    try:
+        return spark.read.schema("batch_id long").parquet(path).count() > 0
+    except AnalysisException:  # no such path: the batch has not come so far
+        return False
+
+
+def _responses(batch: DataFrame, batch_id: int, cfg: RunConfig) -> DataFrame:
+    """The model responses of a batch: asked for once, then read."""
+    spark = batch.sparkSession
+    entry = f"{cfg.table('ledger')}/responses-{batch_id}"
+    keys = [*cfg.order_cols, cfg.url_col]
+    if not _committed(spark, entry):
+        asked = EX.extract_responses(EX.guard_blank(batch, cfg.text_col), cfg.text_col, keys, cfg.backend, cfg.process,
+                                     cfg.partitions)
+        ST.write_batch(asked, cfg.table("responses"), batch_id)
+        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(entry)
+    return spark.read.parquet(cfg.table("responses")).where(F.col("batch_id") == batch_id).drop("batch_id")
+
+
+def _store_usage(responses: DataFrame, batch_id: int, cfg: RunConfig, run_date: str) -> None:
+    """O34 as a stored table with ids, which go on after earlier batches."""
+    spark, path = responses.sparkSession, cfg.table("token_usage")
+    usage = U.capture_usage(responses, run_ts=F.lit(run_date + " 06:00:00").cast("timestamp_ntz"))
+    schema = T.StructType([*TOKEN_USAGE.fields, T.StructField("batch_id", T.LongType())])
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("batch_id").parquet(path)
+    earlier = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id)
+    base = F.coalesce(earlier.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
+    with_ids = assign_ids(usage, list(cfg.order_cols), base)
+    ST.write_batch(with_ids.select(*TOKEN_USAGE.fieldNames()), path, batch_id)
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     """One run over one batch of announcements (also usable outside
     streaming, e.g. for a single daily batch)."""
     spark = batch.sparkSession
-    batch = spread(batch)  # a micro-batch of one or two files would run in one task
+    run_date = cfg.run_date or dt.date.today().isoformat()
     keys = list(cfg.order_cols)
-    bid = F.lit(batch_id).cast("bigint")
+    if cfg.pages is not None:
+        batch = texts_of(batch, spark.read.parquet(cfg.pages), cfg.sources or [])
     # 1. model calls: written once, read back by every consumer
-    responses = EX.extract_responses(batch, cfg.text_col, keys + [cfg.url_col], cfg.backend, cfg.process)
-    _overwrite_batch(responses.withColumn("batch_id", bid), cfg.table("responses"))
-    responses = spark.read.parquet(cfg.table("responses")).where(F.col("batch_id") == batch_id).drop("batch_id")
-    # 2. usage is logged for every call, relevant or not
-    usage = U.capture_usage(responses, run_ts=F.lit(cfg.run_date + " 06:00:00").cast("timestamp_ntz"))
-    _overwrite_batch(usage.withColumn("batch_id", bid), cfg.table("token_usage"))
+    responses = _responses(batch, batch_id, cfg)
+    # 2. usage is logged for every call that reports it, relevant or not
+    _store_usage(responses, batch_id, cfg, run_date)
     # 3. parse + route; refusals and errors go to the quarantine.  The routed
     # rows feed three consumers, so they are kept for the batch; a lost
     # executor recomputes them from the written responses table.
-    parsed = EX.parse_responses(responses, run_date=cfg.run_date).persist(StorageLevel.MEMORY_AND_DISK)
-    _overwrite_batch(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output")
-                     .withColumn("batch_id", bid), cfg.table("quarantine"))
+    parsed = EX.parse_responses(responses, run_date=run_date).persist(StorageLevel.MEMORY_AND_DISK)
+    ST.write_batch(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output"), cfg.table("quarantine"), batch_id)
     ok = EX.signals_of(parsed).select(*keys, *K.SIGNAL_KEYS, "amount_text", "extracted_on",
                                       F.col(cfg.url_col).alias("source_url"))
-    # 4. store what is new against every other batch
+    # 4. store what is new against every earlier batch
     signals_path = cfg.table("price_signals")
-    history = ST.init_signals_table(spark, signals_path).where(F.col("batch_id") != batch_id)
+    history = ST.init_signals_table(spark, signals_path).where(F.col("batch_id") < batch_id)
     fresh = ST.new_signals(ok, history, keys)
     stored = ST.append_signals(spark, fresh, signals_path, batch_id, keys)
     # 5. counters of the run (items read, outcomes, new signals, duplicates)
-    _overwrite_batch(M.run_counters(parsed, stored).withColumn("batch_id", bid), cfg.table("run_counters"))
+    ST.write_batch(M.run_counters(parsed, stored), cfg.table("run_counters"), batch_id)
     parsed.unpersist()
     if not cfg.notify:
         return
     # 6. alerts for exactly the rows stored by this batch
     alerted = AL.with_message(AL.with_alert(stored, cfg.threshold_pct).where("alert"), amount_text="amount_text")
     if not cfg.channels:  # nothing can be sent: record the warning count
-        warn = AL.alerts_without_channel(alerted, cfg.channels)
-        _overwrite_batch(warn.withColumn("batch_id", bid), cfg.table("alert_warnings"))
+        ST.write_batch(AL.alerts_without_channel(alerted, cfg.channels), cfg.table("alert_warnings"), batch_id)
         return
-    outbox = AL.alert_outbox(alerted, ["id"], cfg.channels, cfg.run_date)
-    _overwrite_batch(outbox.withColumn("batch_id", bid), cfg.table("alert_outbox"))
+    ST.write_batch(AL.alert_outbox(alerted, ["id"], cfg.channels, run_date), cfg.table("alert_outbox"), batch_id)
+
+
+def record_deliveries(spark: SparkSession, deliveries: DataFrame, batch_id: int, cfg: RunConfig, sent_on: str) -> None:
+    """Store the alerts of a batch that its channels report as delivered
+    (``deliveries``: id, channel, ok) in ``alerts_sent``."""
+    outbox = spark.read.parquet(cfg.table("alert_outbox")).where(F.col("batch_id") == batch_id).drop("batch_id")
+    ST.write_batch(AL.alerts_sent(outbox, deliveries, sent_on), cfg.table("alerts_sent"), batch_id)
 
 
 def start_incremental(spark: SparkSession, landing: str, schema: T.StructType, cfg: RunConfig,

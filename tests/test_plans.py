@@ -3,6 +3,7 @@
 from marketsignals.operators import extract as EX
 from marketsignals.operators import items as IT
 from marketsignals.operators import store as ST
+from marketsignals.plans import QUERIES, load_all
 from marketsignals.sources import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +32,22 @@ def test_uniqueness_aggregates_before_the_shuffle(spark):
 def test_first_n_limits_before_the_shuffle(spark):
     plan = _physical(IT.first_n_per_source(FX.items_table(spark, SF), 5))
     assert "WindowGroupLimit" in plan
+
+
+def _query_plan(spark, name):
+    load_all()
+    return _physical(QUERIES[name](spark, SF))
+
+
+def test_scans_read_what_the_query_needs(spark):
+    """No exchange of whole tables, and pruned scans."""
+    for name, absent in {"signal_kpis": ("l_extendedprice", "l_tax", "l_shipdate"), "usage_summary": ("ts:", "session"),
+                         "keyword_filter": ("lang", "n_chars"), "enrich_items": ("lang", "n_chars")}.items():
+        plan = _query_plan(spark, name)
+        assert "REPARTITION_BY_NUM" not in plan, name
+        schemas = [x.split(">")[0] for x in plan.split("ReadSchema: struct<")[1:]]
+        assert schemas and not [s for s in schemas for a in absent if a in s], (name, schemas)
+
+
+def test_margin_runs_without_python(spark):
+    assert "Python" not in _query_plan(spark, "margin_impact")

@@ -5,10 +5,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from marketsignals.operators import extract as EX
+from marketsignals.operators import usage as U
 from marketsignals.schemas import STORED_SIGNAL
 from marketsignals.session import scratch_path
 from marketsignals.sources import fixtures as FX
-from marketsignals.streaming.incremental import RunConfig, process_batch, start_incremental
+from marketsignals.streaming.incremental import RunConfig, process_batch, record_deliveries, start_incremental
 
 SF = "/root/testdata/sf0.001"
 COLS = [c for c in STORED_SIGNAL.fieldNames() if c not in ("id", "batch_id")]
@@ -25,7 +27,7 @@ def _stored(spark, cfg):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.select(*COLS).collect())
+    return sorted((tuple(r) for r in df.select(*COLS).collect()), key=str)
 
 
 def test_micro_batches_equal_one_batch_and_replay(spark):
@@ -43,14 +45,19 @@ def test_micro_batches_equal_one_batch_and_replay(spark):
     for i, f in enumerate(files):
         process_batch(spark.read.parquet(f"{landing}/{f}"), i, three)
     assert _rows(_stored(spark, three)) == single
-    ids_one = sorted((r.source_url, r.amount, r.id) for r in _stored(spark, one).collect())
-    ids_three = sorted((r.source_url, r.amount, r.id) for r in _stored(spark, three).collect())
+    ids_one = sorted(((r.source_url, r.amount, r.id) for r in _stored(spark, one).collect()), key=str)
+    ids_three = sorted(((r.source_url, r.amount, r.id) for r in _stored(spark, three).collect()), key=str)
     assert ids_one == ids_three
 
-    # replay of the middle batch: same table
-    process_batch(spark.read.parquet(f"{landing}/{files[1]}"), 1, three)
-    assert _rows(_stored(spark, three)) == single
-    assert _stored(spark, three).count() == len(single)
+    # replay of the first two batches: the same rows with the same ids everywhere
+    def tables():
+        return {t: sorted(map(str, spark.read.parquet(three.table(t)).collect()))
+                for t in ("price_signals", "alert_outbox", "quarantine", "token_usage", "run_counters")}
+
+    before = tables()
+    for i in (0, 1):
+        process_batch(spark.read.parquet(f"{landing}/{files[i]}"), i, three)
+    assert tables() == before
 
     # alerts only for stored rows, once per channel
     outbox = spark.read.parquet(three.table("alert_outbox"))
@@ -83,3 +90,68 @@ def test_no_channel_counts_alerts(spark):
     warn = spark.read.parquet(cfg.table("alert_warnings")).first().alerts_without_channel
     expected = AL.with_alert(_stored(spark, cfg)).where("alert").count()
     assert warn == expected > 0
+
+
+class CountingBackend(EX.RuleBackend):
+    """Counts how often it is asked; says nothing of use if told so."""
+
+    def __init__(self):
+        self.asked, self.silent = 0, False
+
+    def responses(self, texts, text_col, keys):
+        self.asked += 1
+        out = super().responses(texts, text_col, keys)
+        return out.withColumn("raw_output", F.lit('{"not_relevant": true}')) if self.silent else out
+
+
+def test_replay_asks_no_model_and_leaves_no_stale_rows(spark):
+    ann = _landing(spark).limit(50).cache()
+    backend = CountingBackend()
+    cfg = RunConfig(root=scratch_path(spark, "replay"), order_cols=FX.ORDER_COLS, backend=backend, run_date="2026-01-01")
+    process_batch(ann, 0, cfg)
+    first = _rows(_stored(spark, cfg))
+    process_batch(ann, 0, cfg)
+    assert backend.asked == 1 and _rows(_stored(spark, cfg)) == first and first
+    # a second attempt whose responses were never committed, and which finds nothing
+    backend.silent = True
+    spark.createDataFrame([], "batch_id long").write.mode("overwrite").parquet(cfg.table("ledger") + "/responses-0")
+    process_batch(ann, 0, cfg)
+    assert backend.asked == 2 and _stored(spark, cfg).count() == 0
+    assert spark.read.parquet(cfg.table("alert_outbox")).count() == 0
+
+
+def test_daily_run_from_items_and_pages(spark):
+    """Several batches equal one; items of unregistered sources stay out."""
+    items, html = FX.announcement_items(spark, SF)
+    items = items.drop("material", "source_company", "effective_date", "amount").cache()
+    pages = scratch_path(spark, "pages")
+    html.write.parquet(pages)
+    stored = {}
+    for name, cuts in (("one", 1), ("two", 2)):
+        cfg = RunConfig(root=scratch_path(spark, name), order_cols=["source_ord", *FX.ORDER_COLS], pages=pages, run_date="2026-01-01",
+                        sources=FX.RUN_SOURCES[:2])
+        ordinal = F.col("source") == FX.RUN_SOURCES[0]
+        for i, part in enumerate([items] if cuts == 1 else [items.where(ordinal), items.where(~ordinal)]):
+            process_batch(part, i, cfg)
+        stored[name] = _rows(_stored(spark, cfg))
+    assert stored["one"] == stored["two"] and stored["one"]
+    registered = items.where(F.col("source").isin(FX.RUN_SOURCES[:2])).count()
+    assert spark.read.parquet(cfg.table("responses")).count() == registered < items.count()
+
+
+def test_stored_usage_and_alert_log(spark):
+    cfg = RunConfig(root=scratch_path(spark, "tables"), order_cols=FX.ORDER_COLS, run_date="2026-01-01")
+    ann = _landing(spark).cache()
+    process_batch(ann.where("o1 % 2 = 0"), 0, cfg)
+    process_batch(ann.where("o1 % 2 = 1"), 1, cfg)
+    log = spark.read.parquet(cfg.table("token_usage"))
+    n = ann.count()
+    assert sorted(r.id for r in log.select("id").collect()) == list(range(1, n + 1))
+    assert U.usage_totals(U.usage_summary(log)).first().total_calls == n
+    assert [r.id for r in U.usage_log_topk(log, 3).collect()] == [n, n - 1, n - 2]
+    outbox = spark.read.parquet(cfg.table("alert_outbox"))
+    deliveries = outbox.select("id", "channel", (F.col("id") % 2 == 0).alias("ok"))
+    record_deliveries(spark, deliveries, 0, cfg, "2026-01-02")
+    sent = spark.read.parquet(cfg.table("alerts_sent"))
+    assert sent.count() == outbox.where("batch_id = 0 and id % 2 = 0").count() > 0
+    assert set(sent.columns) == {"signal_id", "alert_message", "sent_on", "channel", "batch_id"}
