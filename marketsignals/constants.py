@@ -9,15 +9,9 @@ with the expected outputs in tests/.
 # ---------------------------------------------------------------------------
 # FIXED VALUES — enumerations of a price signal
 # ---------------------------------------------------------------------------
-MATERIALS = ["celuloza", "tektura", "papier", "PE", "PP", "PET", "inne"]
-CHANGE_TYPES = ["podwyzka", "obnizka", "utrzymanie"]
-UNITS = ["EUR/t", "USD/t", "PLN/t", "procent"]
-CURRENCIES = ["EUR", "USD", "PLN"]
-CONFIDENCES = ["high", "medium", "low"]
 
 RISE = "podwyzka"
 CUT = "obnizka"
-HOLD = "utrzymanie"
 PERCENT = "procent"
 
 # The twelve keys a model response must carry (plus optional extracted_on
@@ -42,7 +36,6 @@ LISTING_MAX_ITEMS = 15
 LISTING_HREF_SUBSTRING = "/news-releases/"
 LISTING_MIN_TITLE_CHARS = 15
 LISTING_BASE_URL = "https://www.prnewswire.com"
-PAGE_TEXT_MAX_CHARS = 6000
 SHORT_SUMMARY_CHARS = 200
 REMOVED_ELEMENTS = ["script", "style", "nav", "footer", "header"]
 
@@ -57,10 +50,7 @@ PRICE_KEYWORDS = [
 DEFAULT_MODEL = "openai/gpt-4o-mini"
 PROCESS_AUTOMATIC = "ekstrakcja_automatyczna"
 PROCESS_MANUAL = "ekstrakcja_reczna"
-MAX_OUTPUT_TOKENS = 500
 
-USAGE_SUMMARY_COLUMNS = ["wywolania", "suma_wejsciowych", "suma_wyjsciowych",
-                         "suma_myslenia", "suma_calkowita"]
 USAGE_DISPLAY_NAMES = {
     "process": "proces",
     "model": "model",
@@ -76,7 +66,6 @@ USAGE_KIND_LABELS = {
     "suma_myslenia": "myślenie",
 }
 USAGE_LOG_LIMIT = 100
-USAGE_LOG_DASHBOARD_LIMIT = 200
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — alerts, margin, dashboard

@@ -21,7 +21,6 @@ SIGNAL_FIELDS = [
     T.StructField("confidence", S),
     T.StructField("summary_pl", S),
 ]
-SIGNAL = T.StructType(SIGNAL_FIELDS)
 
 # Stored signals table: generated id, record, source url, run date, batch.
 # ``amount_text`` keeps the amount as the response wrote it (35 vs 35.0),
@@ -33,26 +32,6 @@ STORED_SIGNAL = T.StructType(
 )
 STORED_SIGNAL_COLUMNS = [f.name for f in STORED_SIGNAL.fields]
 
-# Announcement item as acquired from a feed or a listing page.
-ITEM = T.StructType([
-    T.StructField("source", S),
-    T.StructField("pos", L),
-    T.StructField("title", S),
-    T.StructField("summary", S),
-    T.StructField("link", S),
-    T.StructField("published", S),
-])
-
-# Raw model responses (one per extraction call).
-RAW_RESPONSE = T.StructType([
-    T.StructField("process", S),
-    T.StructField("raw_output", S),
-    T.StructField("model", S),
-    T.StructField("prompt_tokens", L),
-    T.StructField("completion_tokens", L),
-    T.StructField("reasoning_tokens", L),
-])
-
 TOKEN_USAGE = T.StructType([
     T.StructField("id", L),
     T.StructField("process", S, False),
@@ -71,11 +50,10 @@ ALERT_SENT = T.StructType([
     T.StructField("channel", S),
 ])
 
-# XML schema of an RSS <channel> element.
+# XML schema of an item of an RSS <channel> element.
 RSS_ITEM = T.StructType([
     T.StructField("title", S),
     T.StructField("link", S),
     T.StructField("description", S),
     T.StructField("pubDate", S),
 ])
-RSS_CHANNEL = T.StructType([T.StructField("item", T.ArrayType(RSS_ITEM))])

@@ -49,7 +49,7 @@ class RunConfig:
     partitions: int | None = None  # tasks for the extraction of a batch
     # The full daily run: batches hold items (source, title, summary, link and
     # the order columns after source_ord), which are made to texts first.
-    sources: list[str] | None = None   # registered sources in reading order
+    sources: list[str] = field(default_factory=lambda: [name for name, _ in K.SOURCE_REGISTRY])  # in reading order
     pages: str | None = None           # Parquet table of landed pages (url, html)
 
     def table(self, name: str) -> str:
@@ -104,7 +104,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     run_date = cfg.run_date or dt.date.today().isoformat()
     keys = list(cfg.order_cols)
     if cfg.pages is not None:
-        batch = texts_of(batch, spark.read.parquet(cfg.pages), cfg.sources or [])
+        batch = texts_of(batch, spark.read.parquet(cfg.pages), cfg.sources)
     # 1. model calls: written once, read back by every consumer
     responses = _responses(batch, batch_id, cfg)
     # 2. usage is logged for every call that reports it, relevant or not
