@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hash_bitmap, in_bitmap, materialize
+from .shared import hash_bitmap, in_bitmap, materialize, release
 from .textkit import (NON_SPACE, U64, _powers, anchored_runs, byte_gram_hashes, chunks, gram_hashes, merge, mix,
                       word_hashes, words)
 
@@ -195,22 +195,28 @@ def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> D
     spark = docs.sparkSession
     sc = spark.sparkContext
     often = contexts(docs, spec).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
-    occ = materialize(contexts(docs, spec, sc.broadcast(hash_bitmap(spark, often, "h"))), "contexts")
-
-    distinct = materialize(occ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("place"),
-                                                     F.min("len").alias("len")), "distinct")
-    groups = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"))
-    whole = [F.array(F.lit(0)).alias("s"), F.array(F.col("len")).alias("e")]
-    alone = distinct.join(groups.where("m = 1 and t >= 2").select("h"), "h", "left_semi").select("h", "c", *whole)
-
+    seen = sc.broadcast(hash_bitmap(spark, often, "h"))
+    occ = materialize(contexts(docs, spec, seen), "contexts")
+    seen.destroy()
+    release(spark)
+
+    distinct = materialize(occ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("len"),
+                                                     *([F.min(_place()).alias("place")] if spec.first else [])), "distinct")
+    groups = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"),
+                                       F.min("c").alias("c"), F.min("len").alias("len"))
     mixed = materialize(groups.where("m >= 2").select("h", "m"), "mixed")
-    texts = contexts(docs, spec, sc.broadcast(hash_bitmap(spark, mixed, "h")), text=True)
-    texts = texts.groupBy("h", "c", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("place"))
-    texts = materialize(texts.join(mixed, "h"), "texts")
-    solved = _solve(texts.where(F.col("m") <= spec.most), spec, solver, shard)
-    hot = texts.where(F.col("m") > spec.most)
-    if mixed.where(F.col("m") > spec.most).limit(1).count():
-        solved = solved.unionByName(_by_window(hot, spec))
+    seen = sc.broadcast(hash_bitmap(spark, mixed, "h"))
+    texts = contexts(docs, spec, seen, text=True)
+    texts = materialize(texts.groupBy("h", "c", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("place")),
+                        "texts")
+    seen.destroy()
+    release(spark)
+    hot = materialize(mixed.where(F.col("m") > spec.most).select("h"), "hot")
+    if hot.limit(1).count():
+        solved = _solve(texts.join(hot, "h", "left_anti"), spec, solver, shard).unionByName(
+            _by_window(texts.join(hot, "h", "left_semi"), spec))
+    else:
+        solved = _solve(texts, spec, solver, shard)
 
     if spec.first:
         # Later occurrences of a context go whole; its first one loses what an earlier context has.
@@ -222,9 +228,11 @@ def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> D
                          F.when(later, F.array("len")).otherwise(F.col("e")).alias("e")))
         keys = ["k1", "k2", "ord"]
     else:
+        alone = groups.where("m = 1 and t >= 2").select("h", "c", F.array(F.lit(0)).alias("s"), F.array("len").alias("e"))
         what = materialize(alone.unionByName(solved), "decided")
         spans = occ.join(what, ["h", "c"]).select("k1", "k2", "off", "s", "e")
         keys = ["k1", "k2"]
+    release(spark)
     parts = spans.select(*keys, F.transform("s", lambda x: x + F.col("off")).alias("s"),
                          F.transform("e", lambda x: x + F.col("off")).alias("e"))
     return parts.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("parts")).select(

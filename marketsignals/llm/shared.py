@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark deletes them once the driver has collected the plans that made them as
+    garbage; between large steps that should not wait until its heap is full.
+    Py4J passes on which Java objects Python has dropped in a thread that looks
+    every second, so the driver's collection comes after that.
+    """
+    gc.collect()
+    time.sleep(1.5)
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def bind(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, also where a lambda refers to it again and again."""
     return F.element_at(F.transform(F.array(value), use), 1)
