@@ -29,11 +29,12 @@ SCOPE = 200
 # Kinds in the order in which spans with one start are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]{24,}"}
-_EDGE, _END = r"(?<![A-Za-z0-9+/_.=-])", r"(?![A-Za-z0-9+/_.=-])"
+# A part may follow '=' and stand before a '.' that ends a word.  Repeats are possessive: time grows with the text only.
+_EDGE, _END = r"(?<![A-Za-z0-9+/_.-])", r"(?!\.?[A-Za-z0-9+/_=-])"
 WEAK = {
-    "identifier_part": _EDGE + r"(?=[A-Z]*[0-9])[A-Z0-9]{16,32}" + _END,
-    "secret_part": _EDGE + r"(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{32,64}={0,2}" + _END,
-    "endpoint_part": r"(?<![A-Za-z0-9])(?:https?|wss?|s3|postgres|mysql|redis|mongodb)://[A-Za-z0-9.:@-]+",
+    "identifier_part": _EDGE + r"(?=[A-Z]*+[0-9])[A-Z0-9]{16,}+" + _END,
+    "secret_part": _EDGE + r"(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{32,}+={0,2}+" + _END,
+    "endpoint_part": r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9]*+(?:\+[A-Za-z0-9]++){0,3}+://[A-Za-z0-9.:@-]+",
 }
 KINDS = [*BASE, *WEAK]
 ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier_part": "identifier",
