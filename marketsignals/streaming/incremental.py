@@ -51,15 +51,21 @@ class RunConfig:
     # the order columns after source_ord), which are made to texts first.
     sources: list[str] = field(default_factory=lambda: [name for name, _ in K.SOURCE_REGISTRY])  # in reading order
     pages: str | None = None           # Parquet table of landed pages (url, html)
+    # Parquet table of listing items (the columns of items): a batch is then one
+    # run, and sources without an item in it take theirs (only with ``pages``).
+    listing: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def texts_of(items: DataFrame, pages: DataFrame, sources: list[str]) -> DataFrame:
-    """Items of the registered sources with source_ord and the
-    assembled ``text``; the link is their ``source_url``."""
-    registered = IT.union_sources(items, IT.source_registry(items.sparkSession, sources))
+def texts_of(items: DataFrame, pages: DataFrame, sources: list[str], listing: DataFrame | None = None,
+             listing_order: list[str] = ("pos",)) -> DataFrame:
+    """O03 (O04 with a listing), O16, O10: items of the registered sources with
+    source_ord and the assembled ``text``; the link is their ``source_url``."""
+    registry = IT.source_registry(items.sparkSession, sources)
+    registered = (IT.union_sources(items, registry) if listing is None
+                  else IT.with_fallback(items, listing, registry, fallback_order=listing_order))
     ready = IT.assembled_text(IT.enrich_items(registered, pages).withColumnRenamed("link", "source_url"))
     return ready.drop("text").withColumnRenamed("full_text", "text")
 
@@ -104,7 +110,9 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     run_date = cfg.run_date or dt.date.today().isoformat()
     keys = list(cfg.order_cols)
     if cfg.pages is not None:
-        batch = texts_of(batch, spark.read.parquet(cfg.pages), cfg.sources)
+        listing = None if cfg.listing is None else spark.read.parquet(cfg.listing)
+        batch = texts_of(batch, spark.read.parquet(cfg.pages), cfg.sources, listing,
+                         [c for c in keys if c != "source_ord"])
     # 1. model calls: written once, read back by every consumer
     responses = _responses(batch, batch_id, cfg)
     # 2. usage is logged for every call that reports it, relevant or not

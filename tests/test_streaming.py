@@ -139,6 +139,25 @@ def test_daily_run_from_items_and_pages(spark):
     assert spark.read.parquet(cfg.table("responses")).count() == registered < items.count()
 
 
+def test_daily_run_takes_listing_items_of_sources_without_items(spark):
+    """A source that is listing-only gives what its items would; listing items of other sources stay out."""
+    items, html = FX.announcement_items(spark, SF)
+    items = items.drop("material", "source_company", "effective_date", "amount").cache()
+    pages, listing = scratch_path(spark, "pages"), scratch_path(spark, "listing")
+    html.write.parquet(pages)
+    items.write.parquet(listing)    # of all sources, also of the unregistered one
+    empty, *others = FX.RUN_SOURCES[:2]
+    feed = items.where(F.col("source").isin(others))
+    runs = {}
+    for name, batch, table in (("items", items, None), ("fallback", feed, listing), ("none", feed, None)):
+        cfg = RunConfig(root=scratch_path(spark, name), order_cols=["source_ord", *FX.ORDER_COLS], pages=pages, run_date="2026-01-01",
+                        sources=FX.RUN_SOURCES[:2], listing=table)
+        process_batch(batch, 0, cfg)
+        runs[name] = _rows(_stored(spark, cfg)), spark.read.parquet(cfg.table("responses")).count()
+    assert runs["fallback"] == runs["items"] != runs["none"]
+    assert items.where(F.col("source") == empty).count() > 0
+
+
 def test_stored_usage_and_alert_log(spark):
     cfg = RunConfig(root=scratch_path(spark, "tables"), order_cols=FX.ORDER_COLS, run_date="2026-01-01")
     ann = _landing(spark).cache()
