@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (chat_format, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, suffix_dedup,
-               warc)
+from . import (chat_format, decontaminate, mixing, pair_bitmaps, prefix_trie, quality_model, quality_rules, secrets, simhash,
+               spotsigs, substring_dedup, suffix_dedup, warc)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8,
     "op9_suffix_dedup": suffix_dedup.op9,
     "op10_chat_format": chat_format.op10,
+    "op11_prefix_trie": prefix_trie.op11,
+    "op12_spotsigs": spotsigs.op12,
+    "op13_pair_bitmaps": pair_bitmaps.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -23,4 +26,5 @@ ORACLES: dict[str, str] = {
     "op6_warc": warc.OP6_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }

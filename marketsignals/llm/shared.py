@@ -18,15 +18,16 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 BITMAP_BITS = 27
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the steps
-    before, and every reader sees the same rows.
+    before, and every reader sees the same rows.  ``by`` names a column whose
+    few values get a folder each.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -181,3 +181,163 @@ def chat(rows, part=64):
 
 def crc_held_out(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def trie(rows):
+    """(conv_id, depth, parent, n_convs, n_children, n_leaves, saved_tokens, ends_sha256); ties follow the hash the operator names."""
+    def order(r):
+        return (r[1] is not None, r[1] or 0, *tie_hash(r[2] or "", r[3] or ""))
+
+    convs = {}
+    for r in rows:
+        if r[0] is not None:
+            convs.setdefault(r[0], []).append(r)
+    turns = {c: [(r[2] or "", r[3] or "") for r in sorted(rs, key=order)] for c, rs in convs.items()}
+    paths = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        paths[c] = tuple(turns.get(c - (abs(c) % 20 if c >= 0 else -(abs(c) % 20)), [])[:h] + own[h:])
+    nodes = {}
+    for c in sorted(paths):
+        for d in range(len(paths[c]) + 1):
+            nodes.setdefault(paths[c][:d], []).append(c)
+    kids, leaves, saved = Counter(), Counter(), Counter()
+    for p in nodes:
+        if p:
+            kids[p[:-1]] += 1
+    for p, cs in nodes.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(cs) - 1) * len(words(p[-1][1])) if p else 0
+    return [(cs[0], len(p), nodes[p[:-1]][0] if p else None, len(cs), kids[p], leaves[p], saved[p],
+             sha(",".join(str(c) for c in cs if paths[c] == p))) for p, cs in nodes.items()]
+
+
+def tie_hash(role, text):
+    """Spark's xxhash64 of two strings, seed 42, and of 7 and both, as signed numbers."""
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chain(seed):
+        return signed(xxhash.xxh64_intdigest(text.encode(), xxhash.xxh64_intdigest(role.encode(), seed)))
+
+    return chain(42), chain(xxhash.xxh64_intdigest((7).to_bytes(4, "little"), 42))
+
+
+def spot_words(text):
+    return BENCH_WORD.findall((text or "").translate(LOWER))
+
+
+def spot_set(w, anchors):
+    found, after = set(), []
+    for x in reversed(w):
+        if x not in anchors:
+            after = [x, *after[:1]]
+        elif len(after) == 2:
+            found.add((x, *after))
+    if not found and w:
+        found = {tuple(w[i:i + 2]) for i in range(max(1, len(w) - 1))}
+    return found
+
+
+def spotsigs(rows, anchors=256):
+    """(doc_id, n_chars, edited_sha256, near_edited, near_next); doc_ids differ. Ties among the common words follow their hash."""
+    import numpy as np
+
+    from marketsignals.llm.textkit import ALNUM, word_hashes
+
+    def word_hash(x):
+        raw = np.frombuffer(x.encode(), np.uint8)
+        return int(word_hashes(raw, np.array([0]), ALNUM).view(np.int64)[0])
+
+    df = Counter(x for _, t in rows for x in set(spot_words(t)))
+    edge = sorted(df.values(), reverse=True)[min(anchors, len(df)) - 1] if df else 0
+    rank = sorted((-n, word_hash(x), x) for x, n in df.items() if n >= edge)
+    common = {x for _, _, x in rank[:anchors]}
+    docs = sorted(rows, key=lambda r: -r[0])
+    out = []
+    for i, (d, t) in enumerate(docs):
+        t, nxt = t or "", docs[(i + 1) % len(docs)][1] or ""
+        k = len(t) // 3
+        edited = t[:len(t) - k] + nxt[:k]
+        a, b, c = (spot_set(spot_words(x), common) for x in (t, edited, nxt))
+        near = [len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c)]
+        out.append((d, len(t), sha(edited), *near))
+    return out
+
+
+_CODEC = []
+
+
+def token_groups(text):
+    """Token ids and byte ends by A and B; empty where the bytes do not come back."""
+    from marketsignals.llm.pair_bitmaps import A_FILE, B_FILE, VOCAB_DIR, Codec
+
+    if not _CODEC:
+        _CODEC.append(Codec(VOCAB_DIR, A_FILE, B_FILE))
+    codec = _CODEC[0]
+    a = codec.a.encode(" " + (text or ""), add_special_tokens=False).ids
+    b = codec.b.encode(text or "")
+    raw = (" " + (text or "")).encode()
+    if not text or b"".join(codec.a_bytes[i] for i in a) != raw or b"".join(codec.b_bytes[i] for i in b) != raw:
+        return [], []
+    out = []
+    for ids, table in ((a, codec.a_bytes), (b, codec.b_bytes)):
+        at, spans = 0, []
+        for i in ids:
+            spans.append((i, at, at + len(table[i])))
+            at += len(table[i])
+        out.append(spans)
+    return out
+
+
+def groups_of(text):
+    sides = token_groups(text)
+    cuts = {e for _, _, e in sides[0]} & {e for _, _, e in sides[1]}
+    groups = []
+    for side in sides:
+        got, now = [], []
+        for i, _, e in side:
+            now.append(str(i))
+            if e in cuts:
+                got.append(",".join(now))
+                now = []
+        groups.append(got)
+    return ";".join(f"{x}|{y}" for x, y in zip(*groups))
+
+
+def links_of(text):
+    a, b = token_groups(text)
+    out, j = [], 0
+    for i, s, e in a:
+        while j and b[j - 1][2] > s:
+            j -= 1
+        while j < len(b) and b[j][1] < e:
+            if b[j][2] > s:
+                out.append((i, b[j][0]))
+            j += 1
+    return out
+
+
+def pair_counts(rows):
+    docs, links = Counter(), Counter()
+    for _, t in rows:
+        found = links_of(t)
+        links.update(found)
+        docs.update(set(found))
+    return {p: (docs[p], links[p]) for p in docs}
+
+
+def alignment(rows):
+    each = {t: links_of(t) for _, t in rows}
+    count = Counter(p for _, t in rows for p in set(each[t]))
+    top = {}
+    for (a, _), n in count.items():
+        top[a] = max(n, top.get(a, 0))
+    out = []
+    for d, t in rows:
+        a, b = token_groups(t)
+        text = groups_of(t) if a else ""
+        out.append((d, len(a), len(b), text.count(";") + 1 if text else 0, len(each[t]), sum(count[p] == top[p[0]] for p in each[t]),
+                    sum(count[p] for p in each[t]), sha(text) if text else ""))
+    return out

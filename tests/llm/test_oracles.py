@@ -24,5 +24,5 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_an_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert list(corpus_pipeline.QUERIES) == ["pipeline"] and len(corpus_pipeline.STAGES) == 5
