@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hash_bitmap, in_bitmap, materialize, release
+from .shared import discard, hash_bitmap, in_bitmap, materialize
 from .textkit import (NON_SPACE, U64, _powers, anchored_runs, byte_gram_hashes, chunks, gram_hashes, merge, mix,
                       word_hashes, words)
 
@@ -72,14 +72,15 @@ def contexts(docs: DataFrame, spec: Spec, wanted=None, text: bool = False) -> Da
                     bounds, units = part.offs, None
                     grams = byte_gram_hashes(part.data, spec.k)
                 runs = anchored_runs(grams, bounds, spec.k, spec.w)
+                owners = mix(runs.hash)        # as minima they would fill a small part of the bitmap only
                 if slim:
-                    if len(runs.hash):
-                        yield pa.RecordBatch.from_arrays([pa.array(runs.hash.view(np.int64))], ["h"])
+                    if len(owners):
+                        yield pa.RecordBatch.from_arrays([pa.array(owners.view(np.int64))], ["h"])
                     continue
-                keep = in_bitmap(bitmap, runs.hash)
+                keep = in_bitmap(bitmap, owners)
                 if not keep.any():
                     continue
-                h, lo, last, doc = runs.hash[keep], runs.first[keep], runs.last[keep], runs.text[keep]
+                h, lo, last, doc = owners[keep], runs.first[keep], runs.last[keep], runs.text[keep]
                 hi = last + length
                 if units is None:
                     units = part.data.astype(U64) + U64(1)
@@ -151,8 +152,10 @@ def _solve(found: DataFrame, spec: Spec, solver: Solver, shard: int) -> DataFram
             .mapInArrow(run, "h long, c long, s array<int>, e array<int>"))
 
 
-def _by_window(found: DataFrame, spec: Spec) -> DataFrame:
-    """The exact way for anchors with very many contexts: each window by itself, grouped by its whole content."""
+def _by_window(found: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
+    """The exact way for anchors with very many contexts: each window by itself, grouped by its whole content.
+
+    The table of windows, and the intervals."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length = spec.length
         for batch in batches:
@@ -182,8 +185,8 @@ def _by_window(found: DataFrame, spec: Spec) -> DataFrame:
     seen = cut_rows.groupBy("x", "y").agg(F.sum("n").alias("total"), F.min("place").alias("least"))
     hit = cut_rows.join(seen, ["x", "y"]).where(
         F.col("place") > F.col("least") if spec.first else F.col("total") >= 2)
-    return (hit.groupBy("h", "c").agg(F.sort_array(F.collect_set("rel")).alias("s"))
-            .select("h", "c", "s", F.transform("s", lambda r: r + F.lit(spec.length)).alias("e")))
+    return cut_rows, (hit.groupBy("h", "c").agg(F.sort_array(F.collect_set("rel")).alias("s"))
+                      .select("h", "c", "s", F.transform("s", lambda r: r + F.lit(spec.length)).alias("e")))
 
 
 def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> DataFrame:
@@ -198,7 +201,6 @@ def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> D
     seen = sc.broadcast(hash_bitmap(spark, often, "h"))
     occ = materialize(contexts(docs, spec, seen), "contexts")
     seen.destroy()
-    release(spark)
 
     distinct = materialize(occ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("len"),
                                                      *([F.min(_place()).alias("place")] if spec.first else [])), "distinct")
@@ -210,11 +212,12 @@ def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> D
     texts = materialize(texts.groupBy("h", "c", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("place")),
                         "texts")
     seen.destroy()
-    release(spark)
     hot = materialize(mixed.where(F.col("m") > spec.most).select("h"), "hot")
+    used = [distinct, mixed, hot, texts]
     if hot.limit(1).count():
-        solved = _solve(texts.join(hot, "h", "left_anti"), spec, solver, shard).unionByName(
-            _by_window(texts.join(hot, "h", "left_semi"), spec))
+        windows, rest = _by_window(texts.join(hot, "h", "left_semi"), spec)
+        solved = _solve(texts.join(hot, "h", "left_anti"), spec, solver, shard).unionByName(rest)
+        used.append(windows)
     else:
         solved = _solve(texts, spec, solver, shard)
 
@@ -232,7 +235,7 @@ def repeated_units(docs: DataFrame, spec: Spec, solver: Solver, shard: int) -> D
         what = materialize(alone.unionByName(solved), "decided")
         spans = occ.join(what, ["h", "c"]).select("k1", "k2", "off", "s", "e")
         keys = ["k1", "k2"]
-    release(spark)
+    discard(*used)
     parts = spans.select(*keys, F.transform("s", lambda x: x + F.col("off")).alias("s"),
                          F.transform("e", lambda x: x + F.col("off")).alias("e"))
     return parts.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("parts")).select(

@@ -13,6 +13,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round joins every edge with the smallest neighbour of an end, a
     hash-aggregated minimum: the many edges of one node never meet in one group.
+    Loops, repeated edges and their direction change nothing; edges with a null end are
+    left out; no edges give no rows.
     The driver sees a count and a checksum per round.
     """
     star = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ids import assign_ids
-from .shared import SPACE_WORD, materialize
+from .shared import materialize, named, SPACE_WORD
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
@@ -87,9 +87,9 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                     seed: int = SEED) -> DataFrame:
-    """The mix itself: all columns of ``docs``, once per copy, plus copy (1, 2, ...; replaces a column of that name)."""
+    """The mix itself: all columns of ``docs``, once per copy, plus copy (1, 2, ...; replaces a column of that name, in upper or lower case)."""
     sized = materialize(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "copy"]).alias("row"), F.col(source).alias("source"),
+    rows = docs.select(F.struct(*[named(c) for c in docs.columns if c.lower() != "copy"]).alias("row"), F.col(source).alias("source"),
                        draw(F.col(doc_id), F.col(text), seed).alias("u"))
     taken = _taken(rows, sized).where("copies > 0")
     return taken.select("row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))

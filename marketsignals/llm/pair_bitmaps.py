@@ -107,16 +107,19 @@ def align(codec: Codec, got_a: list, got_b: list, texts: bool = False):
     b = np.fromiter(chain.from_iterable(got_b), np.int64, int(n_b.sum()))
     end_a, end_b = np.cumsum(codec.a_size[a]), np.cumsum(codec.b_size[b])
     last = np.append(0, end_a)[np.cumsum(n_a)]                 # where each text ends
-    common = np.intersect1d(end_a, end_b, assume_unique=True)
-    ends = np.union1d(end_a, end_b)
-    link_a, link_b = a[np.searchsorted(end_a, ends)], b[np.searchsorted(end_b, ends)]
-    n_groups = np.diff(np.searchsorted(common, last, "right"), prepend=0)
+    is_a, is_b = np.zeros(last[-1] + 1, bool), np.zeros(last[-1] + 1, bool)     # by byte offset
+    is_a[end_a], is_b[end_b] = True, True
+    both = is_a & is_b
+    ends = np.flatnonzero(is_a | is_b)
+    link_a, link_b = (ids[np.cumsum(mark[ends]) - mark[ends]] for ids, mark in ((a, is_a), (b, is_b)))
+    group = np.cumsum(both) - both                             # groups that end before an offset
+    n_groups = np.diff((group + both)[last], prepend=0)
     # Each group's tokens of A, then those of B: a token's place is its own index and the others before it.
-    of_a, of_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-    upto_a, upto_b = np.searchsorted(end_a, common) + 1, np.append(0, np.searchsorted(end_b, common) + 1)
+    cut_a, cut_b = both[end_a], both[end_b]
+    upto_a, upto_b = np.flatnonzero(cut_a) + 1, np.append(0, np.flatnonzero(cut_b) + 1)
     code = np.empty(len(a) + len(b), np.int64)
-    code[np.arange(len(a)) + upto_b[of_a]] = a + codec.ids * (common[of_a] == end_a)
-    code[np.arange(len(b)) + upto_a[of_b]] = b + 2 * codec.ids * (common[of_b] == end_b)
+    code[np.arange(len(a)) + upto_b[group[end_a]]] = a + codec.ids * cut_a
+    code[np.arange(len(b)) + upto_a[group[end_b]]] = b + 2 * codec.ids * cut_b
     size = codec.glyph_size[code]
     flat = codec.glyphs[code][np.arange(codec.glyphs.shape[1]) < size[:, None]].tobytes()
     cut = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(n_a + n_b))].tolist()

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE_RUN, bind
+from .shared import bind, named, SPACE_RUN
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper")
@@ -85,7 +85,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     rest = F.struct(F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).alias("n_symbols"),
                     F.regexp_count(whole, F.lit("[A-Za-z]")).alias("n_letters"),
                     F.regexp_count(whole, F.lit("[A-Z]")).alias("n_upper"))
-    kept = [F.col(c) for c in docs.columns if c.lower() not in MEASURES]
+    kept = [named(c) for c in docs.columns if c.lower() not in MEASURES]
     every = F.array(F.struct(bind(words, of_words).alias("w"), bind(lines, of_lines).alias("l"), rest.alias("r")))
     rows = docs.select(*kept, F.inline(every))
     return rows.select(*kept, *[F.col(f"{s}.{m}").cast("long").alias(m) for s, ms in (
@@ -96,7 +96,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with measurements and fail_bits."""
     rows = measure(docs, text)
-    rows = rows.select(*[c for c in rows.columns if c.lower() != "fail_bits"])
+    rows = rows.select(*[named(c) for c in rows.columns if c.lower() != "fail_bits"])
     bits = sum((F.when(F.expr(rule), F.lit(1 << i)).otherwise(0) for i, rule in enumerate(RULES.values())), F.lit(0))
     return rows.withColumn("fail_bits", bits.cast("long"))
 

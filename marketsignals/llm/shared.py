@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,27 +20,27 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
     Cuts the lineage: a lost executor costs its running tasks, not the steps
     before, and every reader sees the same rows.  ``by`` names a column whose
-    few values get a folder each.
+    few values get a folder each.  ``discard`` deletes the table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps.
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once all that reads them is written itself."""
+    for table in tables:
+        jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(table.folder)
+        folder.getFileSystem(conf).delete(folder, True)
 
-    Spark deletes them once the driver has collected the plans that made them as
-    garbage; between large steps that should not wait until its heap is full.
-    Py4J passes on which Java objects Python has dropped in a thread that looks
-    every second, so the driver's collection comes after that.
-    """
-    gc.collect()
-    time.sleep(1.5)
-    jvm = getattr(spark.sparkContext, "_jvm", None)
-    if jvm is not None:
-        jvm.System.gc()
+
+def named(column: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def bind(value: Column, use) -> Column:

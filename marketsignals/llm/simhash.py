@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import materialize, text_key
+from .shared import materialize, named, text_key
 from .textkit import ASCII_LOWER, NON_SPACE, chunks, words
 
 SHINGLE = 3
@@ -190,7 +190,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     # Rows that repeat the smallest id with different texts: the one with the smallest text key.
     best = found.groupBy("root").agg(F.min(F.struct("k1", "k2", "doc_id")).alias("b"))
     best = best.select(F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2"), F.col("b.doc_id").alias("b_id"))
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"), *text_key(text))
+    rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"), *text_key(text))
     rows = rows.join(best, (rows.k1 == best.b1) & (rows.k2 == best.b2) & rows.id.eqNullSafe(best.b_id), "left_semi")
     # Rows that repeat id and text: one of them, by a hash of the whole row.
     order = Window.partitionBy("k1", "k2", "id").orderBy(F.xxhash64("row"))

@@ -1,14 +1,15 @@
 """Suffix-array dedup: remove every byte under a window that already occurred earlier, keep the first.
 
 Earlier means a smaller doc_id, or the same doc_id and an earlier start.  The
-contexts of ``anchors`` bring equal windows together; a shard's windows are
-sorted into suffix order (to the window length, ties in text order), and the
-previous and next smaller text positions in that order give each suffix its
-longest previous factor.  Where the factor reaches the window length, the
-window is a later copy.
+contexts of ``anchors`` bring equal windows together in shards.  A shard gets its
+suffix order (ranks of prefixes of doubling length, each suffix up to the end of
+its context); for every suffix the nearest ones before and after it in that order
+with a smaller text position are the candidates for its longest earlier match,
+and the longer of the two common prefixes is its longest previous factor.  Where
+the factor has the window's length, the window is a later copy.
 
 Defined results: a null or empty text has no bytes; rows with a null doc_id come
-last; rows that repeat a doc_id with the same text are one document; windows
+behind all doc_ids below 2**62, by a hash of their text; rows that repeat a doc_id with the same text are one document; windows
 never cross texts; other columns are ignored.  A cut can fall inside a
 character: ``kept`` is binary.
 """
@@ -28,7 +29,8 @@ from .shared import text_key
 WINDOW = 100
 ANCHOR = 20
 SHARD_BYTES = 1_000_000
-LAST = (1 << 63) - 1    # order of a null doc_id
+NULLS = 1 << 62         # order of rows with a null doc_id, plus 62 bits of their text's hash
+FIRST = 7               # bytes of the shortest ranked prefixes
 
 
 def previous_smaller(a: np.ndarray) -> np.ndarray:
@@ -47,19 +49,60 @@ def previous_smaller(a: np.ndarray) -> np.ndarray:
     return at
 
 
-def longest_previous_factor(rank: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """True where the longest previous factor reaches the depth that ``rank`` compares.
+def prefix_ranks(data: np.ndarray, left: np.ndarray, longest: int) -> list[tuple[int, np.ndarray]]:
+    """(length, rank of that prefix) of every suffix, for doubling lengths up to ``longest`` or more.
 
-    ``order`` lists text positions (0, 1, ... in text order) in suffix order,
-    ``rank`` names the class of equal prefixes at each place of that order.
+    ``left`` is how many bytes a suffix has; where it has fewer than the prefix, its end sorts first.
     """
+    n = len(data)
+    at = np.arange(n)
+    key = np.zeros(n, np.int64)
+    for i in range(FIRST):
+        there = np.minimum(at + i, n - 1)
+        key = key << 9 | np.where(i < left, data[there].astype(np.int64) + 1, 0)
+    size, out = FIRST, []
+    while True:
+        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        out.append((size, rank))
+        if size >= longest:
+            return out
+        key = rank * (n + 1) + np.where(size < left, rank[np.minimum(at + size, n - 1)] + 1, 0)
+        size *= 2
+
+
+def common_prefix(data: np.ndarray, left: np.ndarray, ranks: list, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of suffixes i and j (pairwise)."""
+    i, j, most = i.copy(), j.copy(), np.minimum(left[i], left[j])
+    found = np.zeros(len(i), np.int64)
+    for size, rank in reversed(ranks):
+        same = (found + size <= most) & (rank[np.minimum(i, len(data) - 1)] == rank[np.minimum(j, len(data) - 1)])
+        found += size * same
+        i += size * same
+        j += size * same
+    for _ in range(FIRST - 1):
+        same = found < most
+        same[same] = data[i[same]] == data[j[same]]
+        found += same
+        i += same
+        j += same
+    return found
+
+
+def longest_previous_factor(data: np.ndarray, left: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each start (they are in text order) the length of the longest match with an earlier one."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    ranks = prefix_ranks(data, left, int(left.max()))
+    order = np.argsort(ranks[-1][1][starts], kind="stable")
+    n = len(order)
     before = previous_smaller(order)
-    after = len(order) - 1 - previous_smaller(order[::-1])[::-1]
-    reach = (before >= 0) & (rank[np.maximum(before, 0)] == rank)
-    reach |= (after < len(order)) & (rank[np.minimum(after, len(order) - 1)] == rank)
-    out = np.zeros(len(order), bool)
-    out[order] = reach
-    return out
+    after = n - 1 - previous_smaller(order[::-1])[::-1]
+    factor = np.zeros(n, np.int64)
+    for near in (before, after):
+        has = np.flatnonzero((near >= 0) & (near < n))
+        length = common_prefix(data, left, ranks, starts[order[has]], starts[order[near[has]]])
+        factor[order[has]] = np.maximum(factor[order[has]], length)
+    return factor
 
 
 def solve(texts: list[bytes], _counts, docs: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
@@ -67,18 +110,13 @@ def solve(texts: list[bytes], _counts, docs: np.ndarray, offsets: np.ndarray, wi
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     begin = np.cumsum(sizes) - sizes
+    left = np.repeat(begin + sizes, sizes) - np.arange(len(data))
     full = np.maximum(0, sizes - window + 1)
     owner = np.repeat(np.arange(len(texts)), full)
     rel = np.arange(len(owner)) - np.repeat(np.cumsum(full) - full, full)
     place = np.lexsort((offsets[owner] + rel, docs[owner]))      # windows in text order
     owner, rel = owner[place], rel[place]
-    rows = np.lib.stride_tricks.sliding_window_view(data, window)[begin[owner] + rel]
-    keys = np.ascontiguousarray(rows).view(f"S{window}").ravel()
-    order = np.argsort(keys, kind="stable")
-    ranked = np.ascontiguousarray(rows[order])
-    new = np.ones(len(order), np.int64)
-    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
-    copy = longest_previous_factor(np.cumsum(new), order)
+    copy = longest_previous_factor(data, left, begin[owner] + rel) >= window
     owner, rel = owner[copy], rel[copy]
     by = np.lexsort((rel, owner))
     owner, rel = owner[by], rel[by]
@@ -92,7 +130,8 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     if not 1 <= anchor <= window:
         raise ValueError("the anchor must fit into the window")
     id_type = docs.select(doc_id).schema[0].dataType.simpleString()
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("ord")
+    behind = F.shiftrightunsigned(text_key(text)[0], 2) + F.lit(NULLS)
+    order = F.coalesce(F.col(doc_id).cast("long"), behind).alias("ord")
     work = docs.select(F.col(doc_id).alias("doc_id"), *text_key(text), order, F.col(text).alias("text"))
     spec = Spec("byte", anchor, window - anchor + 1, first=True, most=most)
     spans = repeated_units(work, spec, lambda t, n, d, o: solve(t, n, d, o, window), SHARD_BYTES)

@@ -178,15 +178,6 @@ def anchored_runs(grams: np.ndarray, bounds: np.ndarray, k: int, w: int) -> Runs
     return Runs(grams[own[at]], own[at], inside[at], inside[end], text[at])
 
 
-def union_length(starts: np.ndarray, ends: np.ndarray) -> int:
-    """Units that the half-open intervals cover together."""
-    if not len(starts):
-        return 0
-    order = np.argsort(starts, kind="stable")
-    s, e = starts[order], np.maximum.accumulate(ends[order])
-    return int(np.sum(np.maximum(0, e - np.maximum(s, np.append(s[:1], e[:-1])))))
-
-
 def merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal intervals; touching intervals become one."""
     if not len(starts):

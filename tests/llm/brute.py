@@ -90,7 +90,9 @@ def substring(rows, size=35):
 
 def suffix(rows, size=100):
     """Rows with one doc_id and one text count as one document."""
-    docs = sorted(((1 << 63 if d is None else d, (t or "").encode(), d) for d, t in rows), key=lambda x: x[0])
+    raws = [(d, (t or "").encode()) for d, t in rows]
+    docs = sorted(((((1 << 62) + (xxhash.xxh64_intdigest(raw, 42) >> 2)) if d is None else d, raw, d) for d, raw in raws),
+                  key=lambda x: x[0])
     first, out = {}, []
     for order, raw, d in docs:
         gone = bytearray(len(raw))
@@ -158,24 +160,33 @@ def quality(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), sum(hit), base)
 
 
-def chat(rows, part=64):
+def chat(rows, part=1_000_000):
     """(conv_id, part, speaker, n_turns, n_own, rendered, masks)."""
     convs = {}
-    for c, turn, role, text in set(rows):
-        convs.setdefault(c, set()).add((turn is None, turn or 0, role or "unknown", text or ""))
+    for c, turn, role, text in rows:
+        convs.setdefault(c, []).append((turn is None, turn or 0, role or "unknown", text or ""))
     out = []
     for c, turns in convs.items():
-        turns = sorted(turns)
+        turns.sort()
+        parts, size, opening, open_ = {}, 0, [], True
+        for t in turns:
+            open_ = open_ and t[2] == "system"
+            if open_ and size // part == 0:
+                opening.append(t)
+            parts.setdefault(size // part, []).append(t)
+            size += len(t[2]) + len(t[3]) + 16
+        if all(t[2] == "system" for t in turns):
+            continue
         for speaker in {t[2] for t in turns} - {"system"}:
-            for p in range(0, len(turns), part):
-                text, masks = "", []
-                for _, _, role, body in turns[p:p + part]:
+            for p, own in parts.items():
+                text, masks, said = "", [], (opening if p else []) + own
+                for _, _, role, body in said:
                     name = "assistant" if role == speaker else "system" if role == "system" else f"user name={role}"
                     text += f"<|{name}|>\n"
                     if role == speaker:
                         masks.append(f"{len(text)}:{len(text) + len(body)}")
                     text += body + "<|end|>\n"
-                out.append((c, p // part, speaker, len(turns[p:p + part]), len(masks), text, ",".join(masks)))
+                out.append((c, p, speaker, len(said), len(masks), text, ",".join(masks)))
     return out
 
 

@@ -72,3 +72,14 @@ def test_odd_tables(spark, request, which):
         assert out.columns == docs.columns
         docs = spark.createDataFrame(out.collect(), docs.schema)
     assert corpus_pipeline.run(spark, path).columns == [*docs.columns, "copy"]
+
+
+def test_odd_column_names(spark, edge, edge_dir, tmp_path):
+    docs = edge.select("*", edge.k1.alias("a.b"), edge.k1.alias("c`d"), edge.k1.alias("Copy"))
+    names = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, edge_dir)
+        assert docs.columns == names
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, edge_dir)
+    out.write.parquet(str(tmp_path / "out"))
+    assert out.columns == [c for c in names if c != "Copy"] + ["copy"]

@@ -12,7 +12,7 @@ from marketsignals.llm.substring_dedup import SuffixAutomaton
 from marketsignals.llm.suffix_dedup import longest_previous_factor, previous_smaller
 
 from . import brute
-from .conftest import EDGE, SF, same
+from .conftest import EDGE, SF, passage, same
 
 OP3 = ("doc_id", "n_words", "n_removed", "kept_sha256")
 OP9 = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -68,10 +68,33 @@ def test_automaton(seed):
 @pytest.mark.parametrize("seed", range(6))
 def test_longest_previous_factor(seed):
     rng = random.Random(seed)
-    text, depth = [rng.randrange(2) for _ in range(60)], 4
     a = np.array(rng.sample(range(50), 50))
     assert previous_smaller(a).tolist() == [max((j for j in range(i) if a[j] < a[i]), default=-1) for i in range(50)]
-    wins = [tuple(text[i:i + depth]) for i in range(len(text) - depth + 1)]
-    order = np.array(sorted(range(len(wins)), key=lambda i: wins[i]))
-    rank = np.cumsum([i > 0 and wins[order[i]] != wins[order[i - 1]] for i in range(len(order))])
-    assert longest_previous_factor(rank, order).tolist() == [w in wins[:i] for i, w in enumerate(wins)]
+    # Contexts of a few letters; suffixes end with their context.
+    texts = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randrange(1, 40))) for _ in range(9)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    left = np.concatenate([np.arange(len(t), 0, -1) for t in texts])
+    starts = np.array(rng.sample(range(len(data)), len(data) * 2 // 3))       # any text order
+    suffix = [data[i:i + left[i]].tobytes() for i in starts]
+
+    def common(x, y):
+        return next((n for n, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+    want = [max((common(s, t) for t in suffix[:i]), default=0) for i, s in enumerate(suffix)]
+    assert longest_previous_factor(data, left, starts).tolist() == want
+
+
+def test_suffix_order_alone_does_not_tell_the_first():
+    """Equal windows stand in the order of what follows them, so the smaller text positions decide."""
+    window, one, two = bytes(range(100)), b"zzz", b"aaa"
+    spans = suffix_dedup.solve([window + one, window + two], None, np.array([1, 2]), np.array([0, 0]))
+    assert [len(s) for s, _ in spans] == [0, 1]
+    spans = suffix_dedup.solve([window + one, window + two], None, np.array([2, 1]), np.array([0, 0]))
+    assert [len(s) for s, _ in spans] == [1, 0]
+
+
+def test_rows_without_an_id_keep_one_copy(spark):
+    shared = passage(9, 60)[:150]
+    docs = spark.createDataFrame([(None, shared + "one"), (None, shared + "two")], "doc_id long, text string")
+    got = sorted(r.n_removed for r in suffix_dedup.suffix_dedup(docs).collect())
+    assert got == [0, 150]
