@@ -2,7 +2,12 @@
 
 Every stage gets what its predecessor kept, written as Parquet and read again;
 ``run`` does this in the session's shared checkpoint folder.  All stages but the
-last return the columns they got.  There is no SQL for SimHash fingerprints, so
+last return the columns they got, whatever their names.  A null text is an empty
+one, which the quality rules reject; a null source is a source of its own; of rows
+that repeat a doc_id each is a document, but exact copies end in near-dedup; ties
+are broken by hashes of the text, so reruns agree; empty tables give empty tables.
+
+There is no SQL for SimHash fingerprints, so
 the query is tested against a brute-force version.
 """
 
@@ -12,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketsignals.llm import decontaminate, mixing, quality_rules, secrets, simhash
-from marketsignals.llm.shared import materialize, text_key
+from marketsignals.llm.shared import materialize, named, text_key
 
 
 def _whole(docs: DataFrame):
     """A row's columns as one struct, so that helper columns cannot clash with them."""
-    return F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    return F.struct(*[named(c) for c in docs.columns]).alias("row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +52,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     hit = F.col("spans").isNotNull()
     rows = rows.withColumn("clean", F.when(hit, secrets.redact(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text")))
     new = {"text": F.col("clean"), "n_chars": F.when(hit, F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))}
-    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
