@@ -26,10 +26,20 @@ def first_n_per_source(items: DataFrame, n: int = K.FEED_MAX_ITEMS,
     return out.drop("_rn")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small parameter table as literals, whose size Spark knows when it plans a join
+    (a frame made from driver rows has none and is shuffled with the big side)."""
+    fields = [field.split() for field in schema.split(",")]
+    kind = "array<struct<" + ",".join(f"{name}:{type_}" for name, type_ in fields) + ">>"
+    values = [F.struct(*[F.lit(v).alias(name) for (name, _), v in zip(fields, row)]) for row in rows]
+    whole = F.array(*values).cast(kind) if values else F.from_json(F.lit("[]"), kind)
+    return spark.range(1).select(F.inline(whole))
+
+
 def source_registry(spark: SparkSession, sources: list[str]) -> DataFrame:
     """(source, source_ord): the registered sources in the order in which
     they are read.  The list is a parameter of the run, not data."""
-    return spark.createDataFrame([(s, i) for i, s in enumerate(sources, 1)], "source string, source_ord long")
+    return literal_table(spark, [(s, i) for i, s in enumerate(sources, 1)], "source string, source_ord long")
 
 
 def union_sources(primary: DataFrame, registry: DataFrame, n: int | None = None) -> DataFrame:
@@ -45,8 +55,9 @@ def with_fallback(primary: DataFrame, fallback: DataFrame, registry: DataFrame,
     are numbered anew per source; everything keeps the registry's source
     name.  ``n_primary`` and ``n_fallback`` compose O02 per side."""
     main = union_sources(primary, registry, n_primary)
-    have = primary.select("source").distinct()
-    spare = fallback.join(have, "source", "left_anti")
+    # At most as many rows as there are registered sources, which the caller lists.
+    have = F.broadcast(main.select("source").distinct())
+    spare = fallback.join(registry.select("source"), "source", "left_semi").join(have, "source", "left_anti")
     order = list(fallback_order)
     if n_fallback:
         spare = first_n_per_source(spare, n_fallback, order, renumber=True)
@@ -54,7 +65,7 @@ def with_fallback(primary: DataFrame, fallback: DataFrame, registry: DataFrame,
         spare = spare.withColumn("pos", F.struct(*order))
         place = assign_ids(spare, ["source", "pos"], base=-1, id_col="_at")
         first = place.groupBy("source").agg(F.min("_at").alias("_first"))
-        spare = place.join(first, "source").withColumn("pos", F.col("_at") - F.col("_first"))
+        spare = place.join(F.broadcast(first), "source").withColumn("pos", F.col("_at") - F.col("_first"))
     spare = spare.select(*primary.columns).join(registry, "source")
     return main.unionByName(spare, allowMissingColumns=True)
 

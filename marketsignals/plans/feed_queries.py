@@ -52,5 +52,5 @@ def q_incremental_run(spark, sf_dir):
                     sources=FX.RUN_SOURCES, partitions=n)
     q = start_incremental(spark, landing, items.drop(*ST.KEY).schema, cfg, f"{root}/_checkpoint", files_per_batch=max(1, n // 3))
     q.awaitTermination()
-    stored = spark.read.schema(STORED_SIGNAL).parquet(cfg.table("price_signals"))
+    stored = cfg.store(spark).read("price_signals", STORED_SIGNAL)
     return stored.select(*_STORED_COLS)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import store as ST
+from ..operators.batches import Attempt, BatchStore
+from ..schemas import STORED_SIGNAL
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from .fixture_sql import with_fixtures
@@ -23,12 +25,12 @@ DEDUP_SQL = """dedup as (
 
 @query("signals_all", with_fixtures("select * from f1", "f1"))
 def q_signals_all(spark, sf_dir):
-    return ST.scan_signals(FX.signals_table(spark, sf_dir))
+    return ST.scan_signals(FX.signals_table(spark, sf_dir), then=FX.ORDER_COLS)
 
 
 @query("signals_by_material", with_fixtures("select * from f1 where material = 'tektura'", "f1"))
 def q_signals_by_material(spark, sf_dir):
-    return ST.scan_signals(FX.signals_table(spark, sf_dir), "tektura")
+    return ST.scan_signals(FX.signals_table(spark, sf_dir), "tektura", FX.ORDER_COLS)
 
 
 @query("dedup_batch", with_fixtures(f"with {DEDUP_SQL} select * from dedup", "f1"))
@@ -63,4 +65,7 @@ select cast(row_number() over (order by o1, o2, o3, o4, o5) as bigint) as id, ma
 from dedup""", "f1"))
 def q_append_signals(spark, sf_dir):
     rows = ST.dedup_batch(FX.signals_table(spark, sf_dir), FX.ORDER_COLS)
-    return ST.append_signals(spark, rows, scratch_path(spark, "signals"), 1, FX.ORDER_COLS)
+    store, attempt = BatchStore(spark, scratch_path(spark, "signals")), Attempt(1)
+    ST.append_signals(store, attempt, rows, FX.ORDER_COLS)
+    store.commit(attempt)
+    return store.read("price_signals", STORED_SIGNAL)

@@ -32,6 +32,11 @@ STORED_SIGNAL = T.StructType(
 )
 STORED_SIGNAL_COLUMNS = [f.name for f in STORED_SIGNAL.fields]
 
+# Complete uniqueness keys of stored signals, in folders by hash.
+SIGNAL_KEY_INDEX = T.StructType([
+    *[STORED_SIGNAL[c] for c in ("material", "source_company", "effective_date", "amount")],
+    T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", L)])
+
 TOKEN_USAGE = T.StructType([
     T.StructField("id", L),
     T.StructField("process", S, False),

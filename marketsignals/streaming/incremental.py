@@ -6,10 +6,12 @@ extracts, parses, stores only signals that are new against everything stored
 (uniqueness is eternal and NULL-aware, so this is an anti-join on the table, not
 a watermark-bounded dedup), and raises alerts for exactly the rows it stored.
 
-Every table is partitioned by ``batch_id``; a batch replaces its partition, also
-by no rows.  History and ids look at earlier batches only, and model responses
-that a batch committed are read again instead of asked for again: a replayed
-micro-batch (restart after failure) gives the same rows with the same ids.
+A batch stages its part of every table and publishes all of them with one commit
+(``operators/batches.py``); readers see it whole or not at all.  Uniqueness reads
+the key index, ids go on from the commits, and only earlier batches count.  Model
+responses are committed first, by themselves, and read again instead of asked for
+again: a replayed micro-batch (restart after failure) gives the same rows with the
+same ids and makes no call.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,7 @@ from ..operators import items as IT
 from ..operators import marts as M
 from ..operators import store as ST
 from ..operators import usage as U
+from ..operators.batches import Attempt, BatchStore
 from ..operators.ids import assign_ids
 from ..schemas import TOKEN_USAGE
 
@@ -55,8 +57,9 @@ class RunConfig:
     # run, and sources without an item in it take theirs (only with ``pages``).
     listing: str | None = None
 
-    def table(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+    def store(self, spark: SparkSession) -> BatchStore:
+        """The published tables of the run."""
+        return BatchStore(spark, self.root)
 
 
 def texts_of(items: DataFrame, pages: DataFrame, sources: list[str], listing: DataFrame | None = None,
@@ -70,37 +73,25 @@ def texts_of(items: DataFrame, pages: DataFrame, sources: list[str], listing: Da
     return ready.drop("text").withColumnRenamed("full_text", "text")
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    """Whether a ledger entry was written (it is one row, after its table)."""
-    try:
-        return spark.read.schema("batch_id long").parquet(path).count() > 0
-    except AnalysisException:  # no such path: the batch has not come so far
-        return False
-
-
 def _responses(batch: DataFrame, batch_id: int, cfg: RunConfig) -> DataFrame:
-    """The model responses of a batch: asked for once, then read."""
-    spark = batch.sparkSession
-    entry = f"{cfg.table('ledger')}/responses-{batch_id}"
+    """The model responses of a batch: asked for once, committed, then read."""
+    store = cfg.store(batch.sparkSession)
     keys = [*cfg.order_cols, cfg.url_col]
-    if not _committed(spark, entry):
+    if not any(c["batch_id"] == batch_id for c in store.commits("responses")):
         asked = EX.extract_responses(EX.guard_blank(batch, cfg.text_col), cfg.text_col, keys, cfg.backend, cfg.process,
                                      cfg.partitions)
-        ST.write_batch(asked, cfg.table("responses"), batch_id)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(entry)
-    return spark.read.parquet(cfg.table("responses")).where(F.col("batch_id") == batch_id).drop("batch_id")
+        attempt = Attempt(batch_id)
+        store.stage(asked, "responses", attempt)
+        store.commit(attempt, "responses")
+    return store.read("responses", batch_id=batch_id).drop("batch_id")
 
 
-def _store_usage(responses: DataFrame, batch_id: int, cfg: RunConfig, run_date: str) -> None:
+def _stage_usage(responses: DataFrame, store: BatchStore, attempt: Attempt, cfg: RunConfig, run_date: str) -> None:
     """O34 as a stored table with ids, which go on after earlier batches."""
-    spark, path = responses.sparkSession, cfg.table("token_usage")
     usage = U.capture_usage(responses, run_ts=F.lit(run_date + " 06:00:00").cast("timestamp_ntz"))
-    schema = T.StructType([*TOKEN_USAGE.fields, T.StructField("batch_id", T.LongType())])
-    spark.createDataFrame([], schema).write.mode("append").partitionBy("batch_id").parquet(path)
-    earlier = spark.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id)
-    base = F.coalesce(earlier.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
-    with_ids = assign_ids(usage, list(cfg.order_cols), base)
-    ST.write_batch(with_ids.select(*TOKEN_USAGE.fieldNames()), path, batch_id)
+    base = store.last_ids(attempt.batch_id).get("token_usage", 0)
+    store.stage(assign_ids(usage, list(cfg.order_cols), base).select(*TOKEN_USAGE.fieldNames()), "token_usage", attempt)
+    attempt.last_ids["token_usage"] = store.staged("token_usage", attempt, TOKEN_USAGE).agg(F.max("id")).first()[0] or base
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
@@ -115,38 +106,40 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
                          [c for c in keys if c != "source_ord"])
     # 1. model calls: written once, read back by every consumer
     responses = _responses(batch, batch_id, cfg)
+    store, attempt = cfg.store(spark), Attempt(batch_id)
     # 2. usage is logged for every call that reports it, relevant or not
-    _store_usage(responses, batch_id, cfg, run_date)
+    _stage_usage(responses, store, attempt, cfg, run_date)
     # 3. parse + route; refusals and errors go to the quarantine.  The routed
     # rows feed three consumers, so they are kept for the batch; a lost
     # executor recomputes them from the written responses table.
     parsed = EX.parse_responses(responses, run_date=run_date).persist(StorageLevel.MEMORY_AND_DISK)
-    ST.write_batch(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output"), cfg.table("quarantine"), batch_id)
+    store.stage(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output"), "quarantine", attempt)
     ok = EX.signals_of(parsed).select(*keys, *K.SIGNAL_KEYS, "amount_text", "extracted_on",
                                       F.col(cfg.url_col).alias("source_url"))
     # 4. store what is new against every earlier batch
-    signals_path = cfg.table("price_signals")
-    history = ST.init_signals_table(spark, signals_path).where(F.col("batch_id") < batch_id)
-    fresh = ST.new_signals(ok, history, keys)
-    stored = ST.append_signals(spark, fresh, signals_path, batch_id, keys)
+    fresh = ST.new_signals(ok, ST.known_keys(store, ok, batch_id), keys)
+    stored = ST.append_signals(store, attempt, fresh, keys)
     # 5. counters of the run (items read, outcomes, new signals, duplicates)
-    ST.write_batch(M.run_counters(parsed, stored), cfg.table("run_counters"), batch_id)
+    store.stage(M.run_counters(parsed, stored), "run_counters", attempt)
     parsed.unpersist()
-    if not cfg.notify:
-        return
     # 6. alerts for exactly the rows stored by this batch
-    alerted = AL.with_message(AL.with_alert(stored, cfg.threshold_pct).where("alert"), amount_text="amount_text")
-    if not cfg.channels:  # nothing can be sent: record the warning count
-        ST.write_batch(AL.alerts_without_channel(alerted, cfg.channels), cfg.table("alert_warnings"), batch_id)
-        return
-    ST.write_batch(AL.alert_outbox(alerted, ["id"], cfg.channels, run_date), cfg.table("alert_outbox"), batch_id)
+    if cfg.notify:
+        alerted = AL.with_message(AL.with_alert(stored, cfg.threshold_pct).where("alert"), amount_text="amount_text")
+        if cfg.channels:
+            store.stage(AL.alert_outbox(alerted, ["id"], cfg.channels, run_date), "alert_outbox", attempt)
+        else:             # nothing can be sent: record the warning count
+            store.stage(AL.alerts_without_channel(alerted, cfg.channels), "alert_warnings", attempt)
+    # 7. all of it becomes visible at once
+    store.commit(attempt)
 
 
 def record_deliveries(spark: SparkSession, deliveries: DataFrame, batch_id: int, cfg: RunConfig, sent_on: str) -> None:
     """Store the alerts of a batch that its channels report as delivered
     (``deliveries``: id, channel, ok) in ``alerts_sent``."""
-    outbox = spark.read.parquet(cfg.table("alert_outbox")).where(F.col("batch_id") == batch_id).drop("batch_id")
-    ST.write_batch(AL.alerts_sent(outbox, deliveries, sent_on), cfg.table("alerts_sent"), batch_id)
+    store, attempt = cfg.store(spark), Attempt(batch_id)
+    outbox = store.read("alert_outbox", batch_id=batch_id).drop("batch_id")
+    store.stage(AL.alerts_sent(outbox, deliveries, sent_on), "alerts_sent", attempt)
+    store.commit(attempt, "deliveries")
 
 
 def start_incremental(spark: SparkSession, landing: str, schema: T.StructType, cfg: RunConfig,

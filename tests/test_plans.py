@@ -1,5 +1,8 @@
 """Plan-shape guards for the scale properties (see README, Scale design)."""
 
+from pyspark.sql import functions as F
+
+from marketsignals.operators import alerts as AL
 from marketsignals.operators import extract as EX
 from marketsignals.operators import items as IT
 from marketsignals.operators import store as ST
@@ -51,3 +54,40 @@ def test_scans_read_what_the_query_needs(spark):
 
 def test_margin_runs_without_python(spark):
     assert "Python" not in _query_plan(spark, "margin_impact")
+
+
+def _exchanges_of_rows(plan):
+    return [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_literal_tables_move_no_rows(spark):
+    """Registry and cost shares are literals whose size Spark knows: the big side stays where it is."""
+    for name in ("union_sources", "margin_impact"):
+        plan = _query_plan(spark, name)
+        literal = plan.count("inline")
+        assert literal and "ExistingRDD" not in plan and "BroadcastHashJoin" in plan, name
+    items = spark.read.schema("source string, pos long, title string").parquet(SF + "/events.parquet")
+    registry = IT.source_registry(spark, ["a", "b"])
+    assert not _exchanges_of_rows(_physical(IT.union_sources(items, registry)))
+    signals = spark.read.schema("material string, amount double, unit string, change_type string").parquet(SF + "/events.parquet")
+    assert not _exchanges_of_rows(_physical(AL.margin_impact(signals, AL.cost_share_table(spark))))
+    fallback = IT.with_fallback(items, items, registry, n_fallback=3)
+    sides = _physical(fallback).split("Union")[1]
+    assert "SortMergeJoin" not in sides
+
+
+def test_equal_dates_are_cut_into_ranges(spark):
+    """A date with nine tenths of the rows does not go to one task, and the order holds."""
+    rows = spark.range(20_000).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("2026-0"), (F.col("id") % 7 + 1).cast("string")))
+                                      .when(F.col("id") % 10 < 8, F.lit("2026-05-01")).alias("announcement_date"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = ST.scan_signals(rows)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 4 and max(sizes) < 20_000 / 3
+        got = [(r.announcement_date is None, r.announcement_date, r.id) for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    dated = [g for g in got if not g[0]]
+    assert [g[0] for g in got] == sorted(g[0] for g in got)
+    assert dated == sorted(sorted(dated, key=lambda g: g[2]), key=lambda g: g[1], reverse=True)

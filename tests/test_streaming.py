@@ -3,11 +3,14 @@ replayed batch changes nothing."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketsignals.operators import extract as EX
+from marketsignals.operators import store as ST
 from marketsignals.operators import usage as U
-from marketsignals.schemas import STORED_SIGNAL
+from marketsignals.operators.batches import BatchStore
+from marketsignals.schemas import SIGNAL_KEY_INDEX, STORED_SIGNAL
 from marketsignals.session import scratch_path
 from marketsignals.sources import fixtures as FX
 from marketsignals.streaming.incremental import RunConfig, process_batch, record_deliveries, start_incremental
@@ -23,7 +26,7 @@ def _landing(spark):
 
 
 def _stored(spark, cfg):
-    return spark.read.schema(STORED_SIGNAL).parquet(cfg.table("price_signals"))
+    return cfg.store(spark).read("price_signals", STORED_SIGNAL)
 
 
 def _rows(df):
@@ -51,7 +54,7 @@ def test_micro_batches_equal_one_batch_and_replay(spark):
 
     # replay of the first two batches: the same rows with the same ids everywhere
     def tables():
-        return {t: sorted(map(str, spark.read.parquet(three.table(t)).collect()))
+        return {t: sorted(map(str, three.store(spark).read(t).collect()))
                 for t in ("price_signals", "alert_outbox", "quarantine", "token_usage", "run_counters")}
 
     before = tables()
@@ -60,7 +63,7 @@ def test_micro_batches_equal_one_batch_and_replay(spark):
     assert tables() == before
 
     # alerts only for stored rows, once per channel
-    outbox = spark.read.parquet(three.table("alert_outbox"))
+    outbox = three.store(spark).read("alert_outbox")
     assert outbox.join(_stored(spark, three), "id", "left_anti").count() == 0
     assert outbox.groupBy("id", "channel").count().where("count > 1").count() == 0
 
@@ -74,9 +77,9 @@ def test_structured_stream_available_now(spark):
     q = start_incremental(spark, landing, ann.schema, cfg, f"{root}/_ckpt", files_per_batch=1)
     q.awaitTermination()
     assert _stored(spark, cfg).count() > 0
-    usage = spark.read.parquet(cfg.table("token_usage"))
+    usage = cfg.store(spark).read("token_usage")
     assert usage.count() == ann.count()  # every call is logged, relevant or not
-    counters = spark.read.parquet(cfg.table("run_counters")).collect()
+    counters = cfg.store(spark).read("run_counters").collect()
     assert len(counters) == 2
     assert sum(r.items_read for r in counters) == ann.count()
     assert sum(r.new_signals for r in counters) == _stored(spark, cfg).count()
@@ -87,7 +90,7 @@ def test_no_channel_counts_alerts(spark):
     from marketsignals.operators import alerts as AL
     cfg = RunConfig(root=scratch_path(spark, "nochan"), order_cols=FX.ORDER_COLS, channels=[])
     process_batch(_landing(spark), 0, cfg)
-    warn = spark.read.parquet(cfg.table("alert_warnings")).first().alerts_without_channel
+    warn = cfg.store(spark).read("alert_warnings").first().alerts_without_channel
     expected = AL.with_alert(_stored(spark, cfg)).where("alert").count()
     assert warn == expected > 0
 
@@ -114,10 +117,10 @@ def test_replay_asks_no_model_and_leaves_no_stale_rows(spark):
     assert backend.asked == 1 and _rows(_stored(spark, cfg)) == first and first
     # a second attempt whose responses were never committed, and which finds nothing
     backend.silent = True
-    spark.createDataFrame([], "batch_id long").write.mode("overwrite").parquet(cfg.table("ledger") + "/responses-0")
+    os.remove(cfg.root.removeprefix("file:") + f"/commits/responses-{0:012d}.json")
     process_batch(ann, 0, cfg)
     assert backend.asked == 2 and _stored(spark, cfg).count() == 0
-    assert spark.read.parquet(cfg.table("alert_outbox")).count() == 0
+    assert cfg.store(spark).read("alert_outbox").count() == 0
 
 
 def test_daily_run_from_items_and_pages(spark):
@@ -136,7 +139,7 @@ def test_daily_run_from_items_and_pages(spark):
         stored[name] = _rows(_stored(spark, cfg))
     assert stored["one"] == stored["two"] and stored["one"]
     registered = items.where(F.col("source").isin(FX.RUN_SOURCES[:2])).count()
-    assert spark.read.parquet(cfg.table("responses")).count() == registered < items.count()
+    assert cfg.store(spark).read("responses").count() == registered < items.count()
 
 
 def test_daily_run_takes_listing_items_of_sources_without_items(spark):
@@ -153,7 +156,7 @@ def test_daily_run_takes_listing_items_of_sources_without_items(spark):
         cfg = RunConfig(root=scratch_path(spark, name), order_cols=["source_ord", *FX.ORDER_COLS], pages=pages, run_date="2026-01-01",
                         sources=FX.RUN_SOURCES[:2], listing=table)
         process_batch(batch, 0, cfg)
-        runs[name] = _rows(_stored(spark, cfg)), spark.read.parquet(cfg.table("responses")).count()
+        runs[name] = _rows(_stored(spark, cfg)), cfg.store(spark).read("responses").count()
     assert runs["fallback"] == runs["items"] != runs["none"]
     assert items.where(F.col("source") == empty).count() > 0
 
@@ -163,14 +166,65 @@ def test_stored_usage_and_alert_log(spark):
     ann = _landing(spark).cache()
     process_batch(ann.where("o1 % 2 = 0"), 0, cfg)
     process_batch(ann.where("o1 % 2 = 1"), 1, cfg)
-    log = spark.read.parquet(cfg.table("token_usage"))
+    log = cfg.store(spark).read("token_usage")
     n = ann.count()
     assert sorted(r.id for r in log.select("id").collect()) == list(range(1, n + 1))
     assert U.usage_totals(U.usage_summary(log)).first().total_calls == n
     assert [r.id for r in U.usage_log_topk(log, 3).collect()] == [n, n - 1, n - 2]
-    outbox = spark.read.parquet(cfg.table("alert_outbox"))
+    outbox = cfg.store(spark).read("alert_outbox")
     deliveries = outbox.select("id", "channel", (F.col("id") % 2 == 0).alias("ok"))
     record_deliveries(spark, deliveries, 0, cfg, "2026-01-02")
-    sent = spark.read.parquet(cfg.table("alerts_sent"))
+    sent = cfg.store(spark).read("alerts_sent")
     assert sent.count() == outbox.where("batch_id = 0 and id % 2 = 0").count() > 0
     assert set(sent.columns) == {"signal_id", "alert_message", "sent_on", "channel", "batch_id"}
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, monkeypatch):
+    """A crash between the writes and the commit leaves readers with what they had; a second try completes the batch."""
+    ann = _landing(spark).cache()
+    cfg = RunConfig(root=scratch_path(spark, "crash"), order_cols=FX.ORDER_COLS, run_date="2026-01-01")
+    store = cfg.store(spark)
+    process_batch(ann.where("o1 % 2 = 0"), 0, cfg)
+
+    def tables():
+        return {t: sorted(map(str, store.read(t).collect()))
+                for t in ("price_signals", "signal_keys", "alert_outbox", "quarantine", "token_usage", "run_counters")}
+
+    before = tables()
+    with monkeypatch.context() as m:
+        plain = BatchStore.commit
+
+        def crash(self, attempt, kind="batch"):
+            if kind == "batch":
+                raise RuntimeError("lost")
+            plain(self, attempt, kind)
+
+        m.setattr(BatchStore, "commit", crash)
+        for part, batch_id in ((ann.where("o1 % 2 = 1"), 1), (ann.where("o1 % 2 = 0"), 0)):   # a new batch and a replay
+            with pytest.raises(RuntimeError):
+                process_batch(part, batch_id, cfg)
+            assert tables() == before
+    process_batch(ann.where("o1 % 2 = 1"), 1, cfg)
+    after = tables()
+    assert all(set(before[t]) <= set(after[t]) for t in before) and len(after["price_signals"]) > len(before["price_signals"])
+    assert sorted(r.id for r in store.read("price_signals").collect()) == list(range(1, len(after["price_signals"]) + 1))
+    assert store.vacuum() > 0 and tables() == after and store.vacuum() == 0
+
+
+def test_a_batch_reads_the_buckets_of_its_keys_and_no_stored_signal(spark):
+    cfg = RunConfig(root=scratch_path(spark, "index"), order_cols=FX.ORDER_COLS, run_date="2026-01-01")
+    process_batch(_landing(spark), 0, cfg)
+    store = cfg.store(spark)
+    keys = store.read("signal_keys", SIGNAL_KEY_INDEX)
+    stored = _stored(spark, cfg).where(ST.key_complete())
+    assert keys.count() == stored.count() and keys.exceptAll(stored.select(*ST.KEY, ST.key_bucket().alias("bucket"), "batch_id")).count() == 0
+    few = stored.limit(3)
+    known = ST.known_keys(store, few, 1)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    buckets = {r.b for r in few.select(ST.key_bucket().alias("b")).collect()}
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "bucket" in filters and "price_signals" not in plan
+    assert few.select(*ST.KEY).exceptAll(known).count() == 0 and 0 < known.count() < keys.count()
+    assert {r.b for r in known.select(ST.key_bucket().alias("b")).distinct().collect()} <= buckets
+    assert store.last_ids(1)["price_signals"] == _stored(spark, cfg).count()
+    assert ST.known_keys(store, few.limit(0), 1).count() == 0
