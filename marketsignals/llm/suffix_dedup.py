@@ -31,6 +31,7 @@ ANCHOR = 20
 SHARD_BYTES = 1_000_000
 NULLS = 1 << 62         # order of rows with a null doc_id, plus 62 bits of their text's hash
 FIRST = 7               # bytes of the shortest ranked prefixes
+PIECES = 4              # longest ranked prefixes that a suffix is compared by
 
 
 def previous_smaller(a: np.ndarray) -> np.ndarray:
@@ -50,7 +51,7 @@ def previous_smaller(a: np.ndarray) -> np.ndarray:
 
 
 def prefix_ranks(data: np.ndarray, left: np.ndarray, longest: int) -> list[tuple[int, np.ndarray]]:
-    """(length, rank of that prefix) of every suffix, for doubling lengths up to ``longest`` or more.
+    """(length, rank of that prefix) of every suffix, for doubling lengths of which ``PIECES`` make up ``longest``.
 
     ``left`` is how many bytes a suffix has; where it has fewer than the prefix, its end sorts first.
     """
@@ -64,7 +65,7 @@ def prefix_ranks(data: np.ndarray, left: np.ndarray, longest: int) -> list[tuple
     while True:
         rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
         out.append((size, rank))
-        if size >= longest:
+        if size * PIECES >= longest:
             return out
         key = rank * (n + 1) + np.where(size < left, rank[np.minimum(at + size, n - 1)] + 1, 0)
         size *= 2
@@ -74,7 +75,8 @@ def common_prefix(data: np.ndarray, left: np.ndarray, ranks: list, i: np.ndarray
     """Length of the common prefix of suffixes i and j (pairwise)."""
     i, j, most = i.copy(), j.copy(), np.minimum(left[i], left[j])
     found = np.zeros(len(i), np.int64)
-    for size, rank in reversed(ranks):
+    top = ranks[-1]
+    for size, rank in [top] * (PIECES - 1) + ranks[::-1]:
         same = (found + size <= most) & (rank[np.minimum(i, len(data) - 1)] == rank[np.minimum(j, len(data) - 1)])
         found += size * same
         i += size * same
@@ -93,7 +95,9 @@ def longest_previous_factor(data: np.ndarray, left: np.ndarray, starts: np.ndarr
     if not len(starts):
         return np.zeros(0, np.int64)
     ranks = prefix_ranks(data, left, int(left.max()))
-    order = np.argsort(ranks[-1][1][starts], kind="stable")
+    size, rank = ranks[-1]
+    pieces = [np.where(i * size < left[starts], rank[np.minimum(starts + i * size, len(data) - 1)] + 1, 0) for i in range(PIECES)]
+    order = np.lexsort(pieces[::-1])
     n = len(order)
     before = previous_smaller(order)
     after = n - 1 - previous_smaller(order[::-1])[::-1]
