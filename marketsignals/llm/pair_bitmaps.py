@@ -61,6 +61,7 @@ class Codec:
 
         self.a = Tokenizer.from_file(f"{vocab_dir}/{a_file}")
         self.a.encode_special_tokens = True
+        self.plain = self.a.normalizer is None
         self.b = sentencepiece.SentencePieceProcessor(model_file=f"{vocab_dir}/{b_file}")
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]     # bytes that stand for themselves
         other = [x for x in range(256) if x not in set(plain)]
@@ -83,14 +84,19 @@ class Codec:
         self.glyph_size = np.array([len(x) for x in texts])
         self.glyphs = np.frombuffer(b"".join(x.ljust(wide) for x in texts), np.uint8).reshape(-1, wide)
 
+    def whole(self, ids: list[int], raw: bytes) -> bool:
+        """Whether tokens of A give their bytes back; only a normalizer could change bytes and keep their number."""
+        if self.plain:
+            return int(self.a_size[ids].sum()) == len(raw)
+        return b"".join(map(self.a_bytes.__getitem__, ids)) == raw
+
     def encode(self, texts: list[str]) -> tuple[list, list]:
         """Token ids of each text by A and by B; none where the bytes do not come back."""
         got_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         got_b = self.b.encode(texts, num_threads=1)
         for i, text in enumerate(texts):
             raw = b" " + text.encode()
-            if not text or b"".join(map(self.a_bytes.__getitem__, got_a[i])) != raw \
-                    or b"".join(map(self.b_bytes.__getitem__, got_b[i])) != raw:
+            if not text or b"".join(map(self.b_bytes.__getitem__, got_b[i])) != raw or not self.whole(got_a[i], raw):
                 got_a[i] = got_b[i] = []
         return got_a, got_b
 
@@ -103,8 +109,8 @@ def align(codec: Codec, got_a: list, got_b: list, texts: bool = False):
     """
     n_a = np.array([len(x) for x in got_a], np.int64)
     n_b = np.array([len(x) for x in got_b], np.int64)
-    a = np.fromiter(chain.from_iterable(got_a), np.int64, int(n_a.sum()))
-    b = np.fromiter(chain.from_iterable(got_b), np.int64, int(n_b.sum()))
+    a = np.fromiter(chain.from_iterable(got_a), np.int32, int(n_a.sum()))
+    b = np.fromiter(chain.from_iterable(got_b), np.int32, int(n_b.sum()))
     end_a, end_b = np.cumsum(codec.a_size[a]), np.cumsum(codec.b_size[b])
     last = np.append(0, end_a)[np.cumsum(n_a)]                 # where each text ends
     is_a, is_b = np.zeros(last[-1] + 1, bool), np.zeros(last[-1] + 1, bool)     # by byte offset
@@ -117,7 +123,7 @@ def align(codec: Codec, got_a: list, got_b: list, texts: bool = False):
     # Each group's tokens of A, then those of B: a token's place is its own index and the others before it.
     cut_a, cut_b = both[end_a], both[end_b]
     upto_a, upto_b = np.flatnonzero(cut_a) + 1, np.append(0, np.flatnonzero(cut_b) + 1)
-    code = np.empty(len(a) + len(b), np.int64)
+    code = np.empty(len(a) + len(b), np.int32)
     code[np.arange(len(a)) + upto_b[group[end_a]]] = a + codec.ids * cut_a
     code[np.arange(len(b)) + upto_a[group[end_b]]] = b + 2 * codec.ids * cut_b
     size = codec.glyph_size[code]
@@ -232,7 +238,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocab_d
                     m = min(n - done, slots - used)
                     texts = [t or "" for t in column.slice(part.first + done, m).to_pylist()]
                     n_a, n_b, n_groups, groups, doc, a, b = align(codec, *codec.encode(texts), group_texts)
-                    held.append(a << 36 | b << 12 | doc + used)
+                    held.append(a.astype(np.int64) << 36 | b.astype(np.int64) << 12 | doc + used)
                     links += len(a)
                     yield batch_of(m, {
                         "block": pa.array(np.full(m, task + number)), "slot": pa.array(np.arange(used, used + m, dtype=np.int32)),
