@@ -305,6 +305,30 @@ def test_english_announcements(spark):
     assert r[3].status == "irrelevant"
 
 
+def test_numbers_with_separators(spark):
+    said = {"1,250 EUR": "1250", "1 200 PLN/t": "1200", "1\u00a0200,50 PLN": "1200.5", "12.500 EUR": "12500", "42,5 EUR": "42.5",
+            "1.250,75 EUR": "1250.75", "0,125 EUR": "0.125", "$1,100": "1100", "1234567 EUR": "1234567", "3.5%": "3.5", "1.000.000 PLN": "1000000"}
+    r = _extracted(spark, *[f"Acme raises pulp prices by {x}." for x in said])
+    assert {x: r[i].amount_text for i, x in enumerate(said)} == said
+
+
+def test_change_and_amount_come_from_one_clause(spark):
+    r = _extracted(
+        spark, "Acme will not raise prices of pulp; sales rose by 5%.",
+        "Acme's turnover grew by 12% to 900 EUR. From 01.09.2026 Acme lowers paper prices by 30 EUR per tonne.",
+        "Spółka nie podnosi cen celulozy. Dywidenda wyniesie 3 zł.",
+        "Cena PET wzrośnie o 4%, ale sprzedaż PP spadła o 20%.",
+        "Acme not only raises pulp prices by 7%, it also invests 300 EUR.",
+        "Paper demand is weak. Prices of PET increase by 2% effective 2026-03-01.",
+        "Acme celebrates. PE prices: unchanged.")
+    assert r[0].status == "irrelevant" and r[2].status == "irrelevant"
+    assert (r[1].material, r[1].change_type, r[1].amount, r[1].unit, r[1].effective_date) == ("papier", "obnizka", 30, "EUR/t", "2026-09-01")
+    assert (r[3].material, r[3].change_type, r[3].amount) == ("PET", "podwyzka", 4)
+    assert (r[4].change_type, r[4].amount) == ("podwyzka", 7)
+    assert (r[5].material, r[5].amount, r[5].effective_date) == ("PET", 2, "2026-03-01")
+    assert (r[6].material, r[6].change_type, r[6].amount) == ("PE", "utrzymanie", None)
+
+
 def test_units_are_not_guessed(spark):
     r = _extracted(spark, "Papier wzrósł o 200 EUR.", "Papier: podwyżka o 200 EUR za tonę.", "Cena PET spadła o 4%.")
     assert (r[0].change_type, r[0].unit, r[0].currency, r[0].amount_text) == ("podwyzka", None, "EUR", "200")
