@@ -168,7 +168,7 @@ def absolute_url(href: Column, base: str = K.LISTING_BASE_URL) -> Column:
 def contains_any(text: Column, keywords: list[str] = K.PRICE_KEYWORDS) -> Column:
     """Lower-cased text contains any keyword (substring match)."""
     low = F.lower(text)
-    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(k)) for k in keywords])
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(k)) for k in keywords], F.lit(False))
 
 
 def assemble(title: Column, body: Column) -> Column:

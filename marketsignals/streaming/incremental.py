@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..functions.text import contains_any
 from ..operators import alerts as AL
 from ..operators import extract as EX
 from ..operators import items as IT
@@ -49,6 +50,9 @@ class RunConfig:
     backend: object = None
     process: str = K.PROCESS_AUTOMATIC
     partitions: int | None = None  # tasks for the extraction of a batch
+    # What spares calls of a paid model; off by default, as it changes counts and usage.
+    keywords: list[str] | None = None  # O09 before the model: texts with none of these are not asked for
+    skip_known_links: bool = False     # items whose link an earlier batch asked for are not asked for again
     # The full daily run: batches hold items (source, title, summary, link and
     # the order columns after source_ord), which are made to texts first.
     sources: list[str] = field(default_factory=lambda: [name for name, _ in K.SOURCE_REGISTRY])  # in reading order
@@ -73,13 +77,24 @@ def texts_of(items: DataFrame, pages: DataFrame, sources: list[str], listing: Da
     return ready.drop("text").withColumnRenamed("full_text", "text")
 
 
+def _worth_asking(texts: DataFrame, store: BatchStore, batch_id: int, cfg: RunConfig) -> DataFrame:
+    """The texts that go to the model: before it, since no filter moves through its call."""
+    if cfg.keywords is not None:
+        texts = texts.where(contains_any(F.col(cfg.text_col), cfg.keywords))
+    if cfg.skip_known_links:
+        earlier = store.read("responses", T.StructType([texts.schema[cfg.url_col]]), before=batch_id)
+        known = earlier.where(F.col(cfg.url_col) != "").distinct()      # an empty link names no item
+        texts = texts.join(known, cfg.url_col, "left_anti")
+    return texts
+
+
 def _responses(batch: DataFrame, batch_id: int, cfg: RunConfig) -> DataFrame:
     """The model responses of a batch: asked for once, committed, then read."""
     store = cfg.store(batch.sparkSession)
     keys = [*cfg.order_cols, cfg.url_col]
     if not any(c["batch_id"] == batch_id for c in store.commits("responses")):
-        asked = EX.extract_responses(EX.guard_blank(batch, cfg.text_col), cfg.text_col, keys, cfg.backend, cfg.process,
-                                     cfg.partitions)
+        asked = EX.extract_responses(_worth_asking(EX.guard_blank(batch, cfg.text_col), store, batch_id, cfg), cfg.text_col, keys,
+                                     cfg.backend, cfg.process, cfg.partitions)
         attempt = Attempt(batch_id)
         store.stage(asked, "responses", attempt)
         store.commit(attempt, "responses")

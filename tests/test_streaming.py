@@ -228,3 +228,21 @@ def test_a_batch_reads_the_buckets_of_its_keys_and_no_stored_signal(spark):
     assert {r.b for r in known.select(ST.key_bucket().alias("b")).distinct().collect()} <= buckets
     assert store.last_ids(1)["price_signals"] == _stored(spark, cfg).count()
     assert ST.known_keys(store, few.limit(0), 1).count() == 0
+
+
+def test_calls_can_be_spared(spark):
+    """Keywords and known links come before the model; links without text are asked for each time."""
+    ann = _landing(spark).limit(40).cache()
+    some = ann.withColumn("source_url", F.when(F.col("o1") % 2 == 0, F.lit("")).otherwise(F.col("source_url")))
+    cfg = RunConfig(root=scratch_path(spark, "spare"), order_cols=FX.ORDER_COLS, run_date="2026-01-01", skip_known_links=True)
+    process_batch(some, 0, cfg)
+    process_batch(some, 1, cfg)
+    asked = {r.batch_id: r["count"] for r in cfg.store(spark).read("responses").groupBy("batch_id").count().collect()}
+    assert asked == {0: some.count(), 1: some.where("source_url = ''").count()} and 0 < asked[1] < asked[0]
+    word = "press release"
+    with_word = ann.where(F.lower("text").contains(word)).count()
+    for i, (keywords, want) in enumerate((([word], with_word), ([], 0))):
+        one = RunConfig(root=scratch_path(spark, f"words{i}"), order_cols=FX.ORDER_COLS, run_date="2026-01-01", keywords=keywords)
+        process_batch(ann, 0, one)
+        assert one.store(spark).read("responses").count() == want < ann.count()
+    assert with_word > 0
