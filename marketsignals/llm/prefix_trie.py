@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ids import assign_ids
-from .shared import SPACE_RUN, materialize
+from .shared import SPACE_RUN, materialize, thinned
 
 SEGMENT = 64      # turns of a path row
 HEAD = 3          # most turns a conversation takes from its base
@@ -128,8 +128,8 @@ def units(key) -> list[tuple]:
 
 
 def skeleton_of(paths: DataFrame, shards: int) -> Skeleton:
-    """Splitters from a sample of bounded size (by hash, so that reruns agree); results do not depend on them."""
-    drawn = paths.select("key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE * shards).collect()
+    """Splitters from a sample of ``SAMPLE`` paths a shard (by hash, so that reruns agree); results do not depend on them."""
+    drawn = thinned(paths.select("key"), ["key"], SAMPLE * shards).distinct().collect()
     keys = sorted({tuple(r["key"]) for r in drawn})
     return Skeleton(sorted({keys[len(keys) * i // shards] for i in range(1, shards)}) if keys else [])
 

@@ -48,6 +48,12 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def thinned(rows: DataFrame, cols: list[str], want: int) -> DataFrame:
+    """About ``want`` of the rows of a written table, by a hash of ``cols``: a filter, so no task gets what all have kept."""
+    share = min(1.0, want / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64(*cols), F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
+
+
 def text_key(text: Column | str) -> list[Column]:
     """128 bits that stand for a text; null and empty texts share one."""
     whole = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

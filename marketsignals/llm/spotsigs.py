@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import materialize, text_key
+from .shared import materialize, text_key, thinned
 from .textkit import ALNUM, ASCII_LOWER, CHUNK, U64, chunks, mix, word_hashes, words
 
 ANCHORS = 256
@@ -176,7 +176,7 @@ def near_pairs(found: DataFrame, least: float = LIKE) -> tuple[DataFrame, DataFr
 
 def _splitters(rows: DataFrame, shards: int) -> list[tuple]:
     """Places (o, k1) that cut the rows (o, k1, n) into shards of like text; from a sample of bounded size."""
-    drawn = rows.orderBy(F.xxhash64("o", "k1"), "o", "k1").limit(SAMPLE * shards).collect()
+    drawn = thinned(rows, ["o", "k1"], SAMPLE * shards).groupBy("o", "k1").agg(F.sum("n").alias("n")).collect()
     keys = sorted((r["o"], r["k1"], r["n"]) for r in drawn)
     upto = np.cumsum([k[2] + 64 for k in keys])
     at = [int(np.searchsorted(upto, upto[-1] * i / shards)) for i in range(1, shards)] if keys else []
