@@ -3,11 +3,14 @@
 Writing makes three records per page: request, response (or revisit) and
 metadata, tied by WARC-Concurrent-To.  Spark's text writer stores them, one
 row a record, gzipped, under its commit protocol, on any file system that Spark
-reaches; CRLF, which ends a record anyway, is the line separator.  Files hold a
-bounded number of records, so a reader task holds a bounded file.
+reaches; CRLF, which ends a record anyway, is the line separator.  Pages are
+written by classes of payload size, each into files of so many records that even
+the largest payloads of the class stay within ``FILE_BYTES`` of text; a page above
+that has a file of its own.  So no file grows with its neighbours, and nothing is
+shuffled or sorted for it.
 
 Reading parses the files as WARC: headers up to the empty line, then exactly
-Content-Length bytes.  Transactions are assembled from the records alone: request
+Content-Length bytes, record by record from the gzip stream.  Transactions are assembled from the records alone: request
 and metadata records join the response or revisit they are concurrent to, and a
 revisit joins the response with its payload digest.
 
@@ -22,7 +25,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +37,9 @@ from ..session import scratch_path
 from .shared import materialize
 
 LEAST_REVISIT = 100          # bytes; smaller payloads are always stored
-FILE_BYTES = 32 << 20        # text of an archive file, about
+FILE_BYTES = 32 << 20        # text of an archive file with more than one page
+PAGE_CLASSES = [4 << 10, 128 << 10, 4 << 20, 1 << 62]     # upper payload sizes of the classes
+RECORD_BYTES = 1200          # headers of a page's three records, without urls
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -57,16 +64,26 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     """Write every row of ``pages`` as request, response or revisit, and metadata record below ``path``."""
     payload = F.coalesce(F.col(html), F.lit(""))
     clean_url = F.regexp_replace(F.col(url), r"[\r\n]", "")
+    # The url stands in three headers and the request line.
+    held = F.octet_length(payload) + 4 * F.coalesce(F.octet_length(clean_url), F.lit(0)) + F.lit(RECORD_BYTES).cast("long")
     rows = pages.select(F.col(page_id).cast("long").alias("id"), clean_url.alias("url"), payload.alias("payload"),
-                        F.sha2(payload, 256).alias("digest"))
-    facts = materialize(rows.select("id", "digest", F.octet_length("payload").alias("size")), "digests")
+                        F.sha2(payload, 256).alias("digest"), held.alias("held"))
+    facts = materialize(rows.select("id", "digest", "held", F.octet_length("payload").alias("size")), "digests")
     copies = facts.where(F.col("size") >= least).groupBy("digest").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
     copies = materialize(copies.select("digest", "first"), "copies")
-    mean = facts.agg(F.avg("size")).first()[0] or 0
-    rows = rows.join(copies, "digest", "left")
+    upper = F.array_min(F.filter(F.array(*[F.lit(c) for c in PAGE_CLASSES]), lambda c: F.col("held") <= c))
+    classes = facts.groupBy(upper.alias("upper")).agg(F.max("held").alias("most")).collect()    # one row a class
+    for i, (top, most) in enumerate(sorted(map(tuple, classes)) or [(PAGE_CLASSES[-1], 1)]):
+        below = max([0, *(c for c in PAGE_CLASSES if c < top)])
+        part = rows.where((F.col("held") > below) & (F.col("held") <= top)).join(copies, "digest", "left")
+        _write_records(part, f"{path}/class={i}", i, max(1, FILE_BYTES // most))
+
+
+def _write_records(rows: DataFrame, path: str, part: int, pages_per_file: int) -> None:
+    """Rows (id, url, payload, digest, first) of one class of pages as archive files."""
     again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("row", F.concat_ws("/", F.lit(part), F.monotonically_increasing_id()))
 
     uri = ("WARC-Target-URI", F.col("url"))
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
@@ -85,21 +102,24 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
                    F.concat(F.lit("pageId: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(CRLF)))
     records = rows.select(F.explode(F.array(request, F.when(again, revisit).otherwise(response), meta)).alias("value"))
     (records.write.option("lineSep", CRLF).option("compression", "gzip")
-     .option("maxRecordsPerFile", max(3, int(3 * FILE_BYTES / (mean + 1200)))).text(path))
-
-
-def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of every record."""
-    at = 0
-    while at < len(raw):
-        end = raw.index(b"\r\n\r\n", at)
-        lines = raw[at:end].decode().split(CRLF)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+     .option("maxRecordsPerFile", 3 * pages_per_file).text(path))
+
+
+def parse(raw: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of every record, of which one at a time is held."""
+    while first := raw.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record before byte {raw.tell()}")
+        lines = []
+        while (line := raw.readline()) not in (CRLF.encode(), b""):
+            lines.append(line.decode())
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
         size = int(headers["content-length"])
-        yield headers, raw[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
+        block = raw.read(size)
+        if len(block) < size:
+            raise ValueError("a WARC record ends before its length")
+        yield headers, block
+        raw.read(4)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +129,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for h, block in parse(gzip.decompress(content.as_py())):
+                for h, block in parse(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
                     kind = h["warc-type"]
                     body = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
                     stated = h.get("warc-payload-digest", "").removeprefix("sha256:") or None

@@ -1,5 +1,11 @@
 """Operator 6: WARC."""
 
+import glob
+import gzip
+import io
+
+import pytest
+
 from marketsignals.llm import warc
 from marketsignals.llm.queries import QUERIES
 
@@ -36,6 +42,34 @@ def test_many_files(spark, monkeypatch):
     same(warc.round_trip(pages(spark)), brute.warc([(p, h) for p, _, h in PAGES]), *OP6)
 
 
+def test_a_stretch_of_large_pages_among_small_ones(spark, tmp_path, monkeypatch):
+    """Files stay bounded by bytes, whatever the mean page is."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 3 << 20)
+    rows = [(i, f"u{i}", ("%07d" % i) * (150_000 if 700 <= i < 710 else 20)) for i in range(2000)]
+    table = pages(spark, rows).coalesce(1)
+    warc.write_warc(table, str(tmp_path / "w"))
+    sizes = [len(gzip.open(f).read()) for f in glob.glob(str(tmp_path / "w/*/*.gz"))]
+    assert max(sizes) <= 3 << 20 and len(sizes) <= 8
+    same(warc.captures(warc.read_records(spark, str(tmp_path / "w"))), brute.warc([(p, h) for p, _, h in rows]), *OP6)
+
+
+def test_a_long_url_counts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    warc.write_warc(pages(spark, [(i, "u" * 100_000, "x") for i in range(20)]).coalesce(1), str(tmp_path / "w"))
+    assert max(len(gzip.open(f).read()) for f in glob.glob(str(tmp_path / "w/*/*.gz"))) <= 1 << 20
+
+
+def test_parse_takes_a_record_at_a_time():
+    good = b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 3\r\n\r\na\r\n\r\n\r\n"
+    raw = io.BytesIO(good * 2)
+    records = warc.parse(raw)
+    assert next(records) == ({"warc-type": "x", "content-length": "3"}, b"a\r\n") and raw.tell() < len(good)
+    assert len(list(records)) == 1
+    for bad in (good[:-6], b"x" + good):
+        with pytest.raises(ValueError):
+            list(warc.parse(io.BytesIO(bad)))
+
+
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()]
     same(QUERIES["op6_warc"](spark, SF), brute.warc(rows), *OP6)
