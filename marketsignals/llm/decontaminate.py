@@ -4,13 +4,14 @@ Windows of ``window`` words are fingerprinted by their 5-gram of smallest hash
 (``textkit.anchored_runs``): every shared window has a shared fingerprint, so
 every shared span of that many words is found.  Items with fewer words are one
 window each and are their own fingerprint.  Document fingerprints that pass a
-fixed-size bitmap of the benchmark's are joined with them by hash, with the
-words around both; a hit is then extended word by word to both sides, on the
-words themselves, and counts if it reaches the window length.
+fixed-size bitmap of the benchmark's are extended to the windows that hold them,
+which join the benchmark's by fingerprint and, word by word, by content; joined
+windows that meet are one hit.
 
-The benchmark's side is broadcast if its measured size is below
-``BROADCAST_BYTES``; beyond it the join shuffles both sides.  Equal benchmark
-contexts are one row with the list of their items.
+Equal benchmark windows are one row with the list of their items, so a document
+window joins one row at most, however many items share a phrase.  The benchmark's
+side is broadcast if its measured size is below ``BROADCAST_BYTES``; beyond it the
+join shuffles both sides.
 
 Defined results: null and empty texts have no words; an item without words has
 no window; an item with a null id is listed as the empty string; rows that
@@ -33,15 +34,14 @@ WINDOW = 10
 GRAM = 5
 BROADCAST_BYTES = 32 << 20
 
-_RUNS = "runs array<struct<h:long,size:int,lo:int,at:int,ctx:binary>>"
+_RUNS = "runs array<struct<h:long,size:int,s:int,words:binary>>"
 
 
 def _fingerprints(rows: DataFrame, sizes: list[int], window: int, wanted=None) -> DataFrame:
-    """Rows (.., text) as (.., n_words, runs): the winnowed contexts for each window size."""
+    """Rows (.., text) as (.., n_words, runs): the windows of each size that hold a winnowed fingerprint."""
     carried = rows.columns[:-1]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("size", pa.int32()), ("lo", pa.int32()), ("at", pa.int32()),
-                               ("ctx", pa.binary())]))
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("size", pa.int32()), ("s", pa.int32()), ("words", pa.binary())]))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if wanted is None else wanted.value
@@ -56,10 +56,10 @@ def _fingerprints(rows: DataFrame, sizes: list[int], window: int, wanted=None) -
                     runs = anchored_runs(gram_hashes(units, k), bounds, k, size - k + 1)
                     h = mix(runs.hash + U64(size))
                     for i in np.flatnonzero(in_bitmap(bitmap, h)) if bitmap is not None else range(len(h)):
-                        lo, hi, doc = runs.first[i], runs.last[i] + size, runs.text[i]
-                        ctx = b" ".join(raw[starts[j]:ends[j]] for j in range(lo, hi))
-                        out[doc].append({"h": int(h[i].view(np.int64)), "size": size, "lo": int(lo - bounds[doc]),
-                                         "at": int(runs.anchor[i] - lo), "ctx": ctx})
+                        doc, key = runs.text[i], int(h[i].view(np.int64))
+                        for lo in range(runs.first[i], runs.last[i] + 1):
+                            held = b" ".join(raw[starts[j]:ends[j]] for j in range(lo, lo + size))
+                            out[doc].append({"h": key, "size": size, "s": int(lo - bounds[doc]), "words": held})
                 n = len(out)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(part.first, n) for c in range(len(carried))]
@@ -69,35 +69,12 @@ def _fingerprints(rows: DataFrame, sizes: list[int], window: int, wanted=None) -
     return rows.mapInArrow(emit, f"{schema}, n_words long, {_RUNS}")
 
 
-def extend(ctx: list[bytes], at: int, other: list[bytes], at_other: int) -> tuple[int, int]:
-    """Words that agree to the left of two places and from them on."""
-    left = 0
-    while left < min(at, at_other) and ctx[at - left - 1] == other[at_other - left - 1]:
-        left += 1
-    right = 0
-    while right < min(len(ctx) - at, len(other) - at_other) and ctx[at + right] == other[at_other + right]:
-        right += 1
-    return left, right
-
-
-def _extended(pairs: DataFrame) -> DataFrame:
-    """Joined fingerprints as hit spans (rid, s, e, items), after comparing words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid, s, e, items = [], [], [], []
-            for r, size, lo, at, ctx, at2, ctx2, it in zip(*(c.to_pylist() for c in batch.columns)):
-                left, right = extend(ctx.split(b" "), at, ctx2.split(b" "), at2)
-                if left + right >= size:
-                    rid.append(r)
-                    s.append(lo + at - left)
-                    e.append(lo + at + right)
-                    items.append(it)
-            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(s, pa.int32()),
-                                              pa.array(e, pa.int32()), pa.array(items, pa.list_(pa.string()))],
-                                             ["rid", "s", "e", "items"])
-
-    return pairs.select("rid", "size", "lo", "at", "ctx", "b_at", "b_ctx", "b_items").mapInArrow(
-        run, "rid long, s int, e int, items array<string>")
+def hit_windows(cand: DataFrame, grams: DataFrame) -> DataFrame:
+    """Document windows (rid, h, size, s, words) that the benchmark holds, as (rid, s, e, items): one row each at most."""
+    held = grams.agg(F.sum(F.length("b_words") + 24 * F.size("b_items") + 64)).first()[0] or 0
+    joined = cand.join(F.broadcast(grams) if held <= BROADCAST_BYTES else grams,
+                       [cand.h == grams.b_h, cand.size == grams.b_size, cand.words == grams.b_words])
+    return joined.select("rid", "s", (F.col("s") + F.col("size")).alias("e"), F.col("b_items").alias("items"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -113,20 +90,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     short = _fingerprints(bench, [], window).where(f"n_words between 1 and {window - 1}")
     sizes = [window, *sorted(int(r[0]) for r in short.select("n_words").distinct().collect())]
     grams = _fingerprints(bench, sizes, window).select("item", "n_words", F.explode("runs").alias("r"))
-    grams = grams.where(f"r.size = least(n_words, {window})").groupBy("r.h", "r.size", "r.at", "r.ctx").agg(
+    grams = grams.where(f"r.size = least(n_words, {window})").groupBy("r.h", "r.size", "r.words").agg(
         F.collect_set("item").alias("items"))
-    grams = materialize(grams.select("h", *(F.col(c).alias(f"b_{c}") for c in ("size", "at", "ctx", "items"))), "bench")
-    held = grams.agg(F.sum(F.length("b_ctx") + 24 * F.size("b_items") + 64)).first()[0] or 0
+    grams = materialize(grams.select(*(F.col(c).alias(f"b_{c}") for c in ("h", "size", "words", "items"))), "bench")
 
-    wanted = sc.broadcast(hash_bitmap(spark, grams.select("h"), "h"))
+    wanted = sc.broadcast(hash_bitmap(spark, grams.select("b_h"), "b_h"))
     work = docs.select(F.col(doc_id).alias("doc_id"), *text_key(text), F.col(text).alias("text"))
     base = materialize(_fingerprints(work, sizes, window, wanted)
                        .withColumn("rid", F.monotonically_increasing_id()), "doc_prints")
     wanted.destroy()
     cand = base.where(F.size("runs") > 0).select("rid", F.inline("runs"))
-    pairs = cand.join(F.broadcast(grams) if held <= BROADCAST_BYTES else grams,
-                      [cand.h == grams.h, cand.size == grams.b_size])
-    hits = _extended(pairs).groupBy("rid").agg(
+    hits = hit_windows(cand, grams).groupBy("rid").agg(
         F.sort_array(F.collect_set(F.struct("s", "e"))).alias("found"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     merged = F.aggregate("found", F.expr("cast(array() as array<struct<s:int,e:int>>)"), lambda acc, x: F.when(

@@ -41,3 +41,23 @@ def test_every_span_of_window_length_is_found(spark, monkeypatch):
                                       spark.createDataFrame(bench, "item_id long, text string"))
     want = {r[0]: r[2:4] for r in brute.decontaminate(rows, bench)}
     assert {r.doc_id: (r.n_hit, r.n_items) for r in out.collect()} == want
+
+
+def test_a_phrase_of_many_items_joins_once(spark, monkeypatch):
+    """1,000 items around one phrase: a document window joins one row, not one an item."""
+    joined = []
+
+    def counted(cand, grams, real=decontaminate.hit_windows):
+        out = real(cand, grams)
+        joined.append((out.count(), cand.count()))
+        return out
+
+    monkeypatch.setattr(decontaminate, "hit_windows", counted)
+    phrase = " ".join(f"p{i}" for i in range(12))
+    bench = [(i, f"a{i} b{i} c{i} {phrase} d{i} e{i} f{i}") for i in range(1000)]
+    rows = [(i, f"x{i} y{i} {phrase} z{i}") for i in range(50)] + [(50, f"c7 {phrase} d7"), (51, " ".join(f"p{i}" for i in range(9)))]
+    out = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"),
+                                      spark.createDataFrame(bench, "item_id long, text string"))
+    want = {r[0]: r[2:4] for r in brute.decontaminate(rows, bench)}
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in out.collect()} == want
+    assert joined and joined[0][0] <= joined[0][1] <= 51 * 18
