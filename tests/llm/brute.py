@@ -125,6 +125,27 @@ SECRETS = {
 }
 
 
+def mixed(rows, seed=17):
+    """(doc_id, source, size, copies) of (doc_id, text, source) rows: one walk over each source's draws."""
+    sizes, draws = Counter(), {}
+    for d, t, source in rows:
+        size = len(words(t))
+        sizes[source] += size
+        key = hashlib.md5("|".join(str(x) for x in (seed, d, t) if x is not None).encode()).hexdigest()
+        draws.setdefault(source, []).append((int(key[:13], 16) / 2 ** 52, int(key[13:26], 16) / 2 ** 52, size, d))
+    out, want = [], targets(sizes)
+    for source, drawn in draws.items():
+        whole = int(want[source] / sizes[source]) if sizes[source] else 0
+        left, at, last = want[source] - whole * sizes[source], 0, -1
+        for u in sorted({x[0] for x in drawn if x[2]}):
+            same = [x for x in drawn if x[0] == u]
+            if at + same[0][1] * sum(x[2] for x in same) < left:
+                last = u
+            at += sum(x[2] for x in same)
+        out += [(d, source, size, whole + (u <= last)) for u, _, size, d in drawn]
+    return out
+
+
 def base_spans(text):
     found = []
     for i, (kind, regex) in enumerate(SECRETS.items()):

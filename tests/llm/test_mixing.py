@@ -3,6 +3,8 @@
 import math
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from marketsignals.llm import mixing
 from marketsignals.llm.queries import QUERIES
 
@@ -45,6 +47,33 @@ def test_taken_words_come_near_the_target(spark):
     assert big and all(abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.15 for r in big)
 
 
+def test_a_source_misses_its_target_by_less_than_a_document(spark):
+    for docs in (spark.read.parquet(f"{SF}/documents.parquet"),
+                 spark.range(3000).selectExpr("id as doc_id", "repeat('w ', int(1 + pow(id % 97, 2))) as text",
+                                              "if(id % 3 = 0, 'hot', concat('s', id % 40)) as source")):
+        out = mixing.mix_sources(docs).groupBy("source").agg(
+            F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("longest")).collect()
+        assert all(abs(r.taken - r.target) < r.longest + 1e-6 for r in out)
+
+
+def test_draws_against_a_plain_walk(spark, edge):
+    docs = edge.unionByName(spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "doc_id", "text", "lang", "source", "n_chars", "1 as k1", "'' as h", "array(1) as size", "'' as row"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+    assert sorted(((r.doc_id, r.source, r.size, r.copies) for r in mixing.mix_sources(docs).collect()), key=repr) == sorted(
+        brute.mixed(rows), key=repr)
+
+
+def test_draws_spread_evenly(spark):
+    """Over seeds each document gets its extra copy about as often as the fraction says."""
+    docs = spark.createDataFrame([(i, "w " * (10 + i), "b" if i else "a") for i in range(8)], "doc_id long, text string, source string")
+    seen = Counter()
+    for seed in range(4):
+        for r in mixing.mix_sources(docs, seed=seed).collect():
+            seen[r.doc_id] += r.copies
+    assert len({seen[i] for i in range(1, 8)}) > 1 and all(0 < seen[i] < 12 for i in range(1, 8))
+
+
 def test_mixed_documents_are_the_copies(spark, edge):
     copies = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix_sources(edge).collect()}
     out = mixing.mixed_documents(edge)
