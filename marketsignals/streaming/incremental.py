@@ -35,6 +35,7 @@ from ..operators import usage as U
 from ..operators.batches import Attempt, BatchStore
 from ..operators.ids import assign_ids
 from ..schemas import TOKEN_USAGE
+from ..sources.feeds import feed_order, stream_feeds
 
 
 @dataclass
@@ -168,3 +169,16 @@ def start_incremental(spark: SparkSession, landing: str, schema: T.StructType, c
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
     return writer.start()
+
+
+def start_from_feeds(spark: SparkSession, feeds: str, cfg: RunConfig, checkpoint: str,
+                     files_per_batch: int | None = None, available_now: bool = True):
+    """Start the daily run from landed feed files (``<feeds>/source=<name>/*.xml``).  ``cfg`` names the pages (and the
+    listing, if there is one, with the columns file and ordinal) and has ``FEED_ORDER`` as its order columns."""
+    if cfg.pages is None:
+        raise ValueError("feed items need the table of landed pages")
+    writer = (stream_feeds(spark, feeds, files_per_batch).writeStream
+              .foreachBatch(lambda df, bid: process_batch(feed_order(df), bid, cfg))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
+    return writer.start()
