@@ -19,7 +19,8 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COMMIT = "batch_id long, kind string, tables map<string,string>, last_ids map<string,bigint>"
@@ -33,6 +34,7 @@ class Attempt:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
     tables: dict[str, str] = field(default_factory=dict)
     last_ids: dict[str, int] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)      # of tables with ids, as their writes observed them
 
 
 class BatchStore:
@@ -55,12 +57,21 @@ class BatchStore:
         found = self.commits(kind, before)
         return dict(found[-1]["last_ids"] or {}) if found else {}
 
-    def stage(self, df: DataFrame, table: str, attempt: Attempt, by: str | None = None) -> None:
-        """Write the rows of an attempt; ``by`` names a column whose values get a folder each."""
+    def stage(self, df: DataFrame, table: str, attempt: Attempt, by: str | None = None, base: int | None = None) -> None:
+        """Write the rows of an attempt; ``by`` names a column whose values get a folder each.
+
+        With ``base``, the highest id before this attempt, the write itself observes how many rows it has and
+        their highest id, which the attempt then knows without a job of its own.
+        """
         place = f"batch_id={attempt.batch_id}/attempt={attempt.name}"
-        df = df.drop("batch_id")
+        df, seen = df.drop("batch_id"), Observation()
+        if base is not None:
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("id").alias("last"))
         (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(f"{self.root}/{table}/{place}")
         attempt.tables[table] = place
+        if base is not None:     # a write of no partition observes nothing
+            attempt.rows[table] = seen.get.get("rows") or 0
+            attempt.last_ids[table] = seen.get.get("last") or base
 
     def staged(self, table: str, attempt: Attempt, schema: T.StructType) -> DataFrame:
         """The rows that an attempt has written, read back before they are published."""
@@ -99,6 +110,12 @@ class BatchStore:
         df = (reader.schema(schema) if schema else reader).parquet(*[f"{self.root}/{table}/{p}" for p in places])
         return df.select(*schema.fieldNames()) if schema else df.drop("attempt")
 
+    def remove(self, folder: str) -> None:
+        """Delete a folder below the root that no commit names."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def vacuum(self) -> int:
         """Delete attempts that no commit names; none may be running.  Returns how many went."""
         named = {f"{t}/{place}" for c in self.commits() for t, place in (c["tables"] or {}).items()}

@@ -3,7 +3,7 @@ rendering and latest commodity quotes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,31 @@ def latest_quotes(quotes: DataFrame, as_of=None, days: int = K.QUOTE_WINDOW_DAYS
             .agg(F.round(F.max(F.struct("ts", "close"))["close"], 2).alias("close")))
 
 
+def _outcomes() -> list[Column]:
+    c = F.col("status")
+    return [
+        F.count(F.lit(1)).alias("items_read"),
+        F.count_if(c == "ok").alias("ok"),
+        F.count_if(c == "irrelevant").alias("irrelevant"),
+        F.count_if(c == "error").alias("errors"),
+        F.count_if(c == "rejected").alias("rejected"),
+    ]
+
+
+def observe_outcomes(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """O27 as a by-product: ``parsed``, whose next action (one that reads every row in its last stage, such as a
+    write) also counts the outcomes."""
+    seen = Observation()
+    return parsed.observe(seen, *_outcomes()), seen
+
+
+def observed_counters(spark: SparkSession, seen: Observation, new_signals: int) -> DataFrame:
+    """O27 from what a write has observed: the row that ``run_counters`` gives, without reading anything."""
+    counts = {c: seen.get.get(c) or 0 for c in ("items_read", "ok", "irrelevant", "errors", "rejected")}
+    counts |= {"new_signals": new_signals, "duplicates": counts["ok"] - new_signals}
+    return spark.range(1, numPartitions=1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
+
+
 def run_counters(parsed: DataFrame, new_rows: DataFrame | None = None) -> DataFrame:
     """Counters of one run - items read, outcome of parsing, signals
     new to the store and the rest (duplicates).
@@ -91,15 +116,7 @@ def run_counters(parsed: DataFrame, new_rows: DataFrame | None = None) -> DataFr
     Without (nothing stored before), new signals follow from the same single
     pass: ``ok`` rows with an open key, plus distinct complete keys.
     """
-    c = F.col("status")
-    ok = c == "ok"
-    parts = [
-        F.count(F.lit(1)).alias("items_read"),
-        F.count_if(ok).alias("ok"),
-        F.count_if(c == "irrelevant").alias("irrelevant"),
-        F.count_if(c == "error").alias("errors"),
-        F.count_if(c == "rejected").alias("rejected"),
-    ]
+    ok, parts = F.col("status") == "ok", _outcomes()
     if new_rows is not None:
         out = parsed.agg(*parts).withColumn("new_signals", new_rows.agg(F.count(F.lit(1))).scalar())
     else:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions.text import contains_any
 from ..operators import alerts as AL
+from ..operators import answers as AN
 from ..operators import extract as EX
 from ..operators import items as IT
 from ..operators import marts as M
@@ -54,6 +55,7 @@ class RunConfig:
     # What spares calls of a paid model; off by default, as it changes counts and usage.
     keywords: list[str] | None = None  # O09 before the model: texts with none of these are not asked for
     skip_known_links: bool = False     # items whose link an earlier batch asked for are not asked for again
+    answer_scope: str | None = None    # names model and prompt: answers are kept by text (operators/answers.py)
     # The full daily run: batches hold items (source, title, summary, link and
     # the order columns after source_ord), which are made to texts first.
     sources: list[str] = field(default_factory=lambda: [name for name, _ in K.SOURCE_REGISTRY])  # in reading order
@@ -94,11 +96,15 @@ def _responses(batch: DataFrame, batch_id: int, cfg: RunConfig) -> DataFrame:
     store = cfg.store(batch.sparkSession)
     keys = [*cfg.order_cols, cfg.url_col]
     if not any(c["batch_id"] == batch_id for c in store.commits("responses")):
-        asked = EX.extract_responses(_worth_asking(EX.guard_blank(batch, cfg.text_col), store, batch_id, cfg), cfg.text_col, keys,
-                                     cfg.backend, cfg.process, cfg.partitions)
-        attempt = Attempt(batch_id)
-        store.stage(asked, "responses", attempt)
-        store.commit(attempt, "responses")
+        texts, attempt = _worth_asking(EX.guard_blank(batch, cfg.text_col), store, batch_id, cfg), Attempt(batch_id)
+        if cfg.answer_scope is None:
+            asked = EX.extract_responses(texts, cfg.text_col, keys, cfg.backend, cfg.process, cfg.partitions)
+            store.stage(asked, "responses", attempt)
+            store.commit(attempt, "responses")
+        else:
+            AN.stage_responses(texts, cfg.text_col, keys, store, attempt, cfg.answer_scope, cfg.backend, cfg.process, cfg.partitions)
+            store.commit(attempt, "responses")
+            AN.forget(store, batch_id)
     return store.read("responses", batch_id=batch_id).drop("batch_id")
 
 
@@ -106,8 +112,7 @@ def _stage_usage(responses: DataFrame, store: BatchStore, attempt: Attempt, cfg:
     """O34 as a stored table with ids, which go on after earlier batches."""
     usage = U.capture_usage(responses, run_ts=F.lit(run_date + " 06:00:00").cast("timestamp_ntz"))
     base = store.last_ids(attempt.batch_id).get("token_usage", 0)
-    store.stage(assign_ids(usage, list(cfg.order_cols), base).select(*TOKEN_USAGE.fieldNames()), "token_usage", attempt)
-    attempt.last_ids["token_usage"] = store.staged("token_usage", attempt, TOKEN_USAGE).agg(F.max("id")).first()[0] or base
+    store.stage(assign_ids(usage, list(cfg.order_cols), base).select(*TOKEN_USAGE.fieldNames()), "token_usage", attempt, base=base)
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
@@ -129,14 +134,15 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: RunConfig) -> None:
     # rows feed three consumers, so they are kept for the batch; a lost
     # executor recomputes them from the written responses table.
     parsed = EX.parse_responses(responses, run_date=run_date).persist(StorageLevel.MEMORY_AND_DISK)
-    store.stage(EX.quarantine_of(parsed).select(*keys, "status", "reason", "raw_output"), "quarantine", attempt)
+    counted, seen = M.observe_outcomes(parsed)     # this write reads every routed row, so it counts them too
+    store.stage(EX.quarantine_of(counted).select(*keys, "status", "reason", "raw_output"), "quarantine", attempt)
     ok = EX.signals_of(parsed).select(*keys, *K.SIGNAL_KEYS, "amount_text", "extracted_on",
                                       F.col(cfg.url_col).alias("source_url"))
     # 4. store what is new against every earlier batch
     fresh = ST.new_signals(ok, ST.known_keys(store, ok, batch_id), keys)
     stored = ST.append_signals(store, attempt, fresh, keys)
     # 5. counters of the run (items read, outcomes, new signals, duplicates)
-    store.stage(M.run_counters(parsed, stored), "run_counters", attempt)
+    store.stage(M.observed_counters(spark, seen, attempt.rows["price_signals"]), "run_counters", attempt)
     parsed.unpersist()
     # 6. alerts for exactly the rows stored by this batch
     if cfg.notify:
