@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from marketsignals.functions import rules as R
+from marketsignals.functions.rules import MATERIAL_TOKENS as MATERIALS
+from marketsignals.functions.rules import rule_response
 from marketsignals.operators import alerts as AL
 from marketsignals.operators import extract as EX
 from marketsignals.operators import items as IT
@@ -32,6 +35,19 @@ def test_uniqueness_aggregates_before_the_shuffle(spark):
     assert "partial_min" in plan  # map-side first-writer aggregate
 
 
+def test_each_pattern_of_the_rules_stands_once(spark):
+    """NULL for an empty match is decided on the bound match, not by a second pass of the regex."""
+    texts = spark.read.schema("k long, text string").parquet(SF + "/events.parquet")
+    plan = _optimized(texts.select(rule_response(F.col("text")).alias("r")))
+    whole = {R.CHANGE_TOKEN: 1, R.PRICE: 2, R.REGION: 3, R.HEADER: 3, R.EFFECTIVE: 2, MATERIALS[0]: 4}
+    assert {p: plan.count(p) for p in whole} == whole
+
+
+def test_blank_guard_builds_the_text_once(spark):
+    plan = _optimized(EX.guard_blank(FX.announcements_table(spark, SF), "text"))
+    assert plan.count("Komunikat prasowy") == 1
+
+
 def test_first_n_limits_before_the_shuffle(spark):
     plan = _physical(IT.first_n_per_source(FX.items_table(spark, SF), 5))
     assert "WindowGroupLimit" in plan

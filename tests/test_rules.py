@@ -329,6 +329,15 @@ def test_change_and_amount_come_from_one_clause(spark):
     assert (r[6].material, r[6].change_type, r[6].amount) == ("PE", "utrzymanie", None)
 
 
+def test_words_are_found_in_any_case(spark):
+    r = _extracted(spark, "PODWYŻKA CEN ŻYWIC O 5%.", "\u212aRAFTLINER: PRICE RAISED BY 3 PERCENT", "NBSK: Nigdy BEZ ZMIAN",
+                   "FluTing price Not At All Reduced; PET hike 2,5 %", "Aluminium and pet prices lower by zł1 200 per tonne")
+    got = [(x.status, x.material, x.material_detail, x.change_type, x.amount, x.unit) for _, x in sorted(r.items())]
+    assert got == [("ok", "inne", None, "podwyzka", 5.0, "procent"), ("ok", "tektura", "kraftliner", "podwyzka", 3.0, "procent"),
+                   ("ok", "celuloza", "NBSK", "utrzymanie", None, None), ("ok", "PET", None, "podwyzka", 2.5, "procent"),
+                   ("ok", "inne", None, "obnizka", 1200.0, "PLN/t")]
+
+
 def test_units_are_not_guessed(spark):
     r = _extracted(spark, "Papier wzrósł o 200 EUR.", "Papier: podwyżka o 200 EUR za tonę.", "Cena PET spadła o 4%.")
     assert (r[0].change_type, r[0].unit, r[0].currency, r[0].amount_text) == ("podwyzka", None, "EUR", "200")
