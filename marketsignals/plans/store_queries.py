@@ -35,7 +35,7 @@ def q_signals_by_material(spark, sf_dir):
 
 @query("dedup_batch", with_fixtures(f"with {DEDUP_SQL} select * from dedup", "f1"))
 def q_dedup_batch(spark, sf_dir):
-    return ST.dedup_batch(FX.signals_table(spark, sf_dir), FX.ORDER_COLS)
+    return ST.dedup_batch(FX.signals_table(spark, sf_dir, spread=True), FX.ORDER_COLS)
 
 
 @query("dedup_against_history", with_fixtures(f"""
@@ -51,10 +51,9 @@ where source_company is null or effective_date is null or amount is null or isna
         select 1 from hist h where h.material = r.material and h.source_company = r.source_company
           and h.effective_date = r.effective_date and h.amount = r.amount))""", "f1"))
 def q_dedup_against_history(spark, sf_dir):
-    f1 = FX.signals_table(spark, sf_dir)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    history = f1.where(F.col("o5") < split)
-    batch = f1.where(F.col("o5") >= split)
+    history = FX.signals_table(spark, sf_dir).where(F.col("o5") < split)
+    batch = FX.signals_table(spark, sf_dir, spread=True).where(F.col("o5") >= split)
     return ST.new_signals(batch, history, FX.ORDER_COLS)
 
 
@@ -64,7 +63,7 @@ select cast(row_number() over (order by o1, o2, o3, o4, o5) as bigint) as id, ma
   confidence, summary_pl, extracted_on, cast(null as varchar) as amount_text, cast(1 as bigint) as batch_id
 from dedup""", "f1"))
 def q_append_signals(spark, sf_dir):
-    rows = ST.dedup_batch(FX.signals_table(spark, sf_dir), FX.ORDER_COLS)
+    rows = ST.dedup_batch(FX.signals_table(spark, sf_dir, spread=True), FX.ORDER_COLS)
     store, attempt = BatchStore(spark, scratch_path(spark, "signals")), Attempt(1)
     ST.append_signals(store, attempt, rows, FX.ORDER_COLS)
     store.commit(attempt)

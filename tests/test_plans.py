@@ -48,6 +48,13 @@ def test_blank_guard_builds_the_text_once(spark):
     assert plan.count("Komunikat prasowy") == 1
 
 
+def test_signals_are_deduplicated_in_small_tasks(spark):
+    """Signals are made and sorted in more tasks than lineitem has splits."""
+    for name in ("dedup_batch", "dedup_against_history"):
+        spread = [line for line in _exchanges_of_rows(_query_plan(spark, name)) if "REPARTITION_BY_NUM" in line]
+        assert len(spread) == 1 and "l_orderkey" in spread[0], name
+
+
 def test_first_n_limits_before_the_shuffle(spark):
     plan = _physical(IT.first_n_per_source(FX.items_table(spark, SF), 5))
     assert "WindowGroupLimit" in plan
