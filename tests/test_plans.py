@@ -43,6 +43,25 @@ def test_each_pattern_of_the_rules_stands_once(spark):
     assert {p: plan.count(p) for p in whole} == whole
 
 
+def test_rules_are_compiled(spark):
+    """Only the clauses are looked at in a ``transform``, which is interpreted, and no method is too long for the JIT."""
+    texts = spark.read.schema("k long, text string").parquet(SF + "/events.parquet")
+    df = EX.extract_responses(texts, "text", ["k"])
+    assert _optimized(df).count("transform(") == 2
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+
+
+def test_steps_of_the_rules_agree_with_the_expression(spark):
+    """As projections and as one expression, also for texts that hold the mark of clauses, and for keys named like steps."""
+    texts = [None, "", "podwyżka cen papieru o 5%; ceny PE bez zmian", "Press release — A, August 15, 2026\nPulp prices rise. Up 3 EUR/t",
+             "cut\x00prices of paper fall. New prices of pulp, increase of 1,250 EUR per tonne in the CEE region, effective 15.08.2026"]
+    df = spark.createDataFrame(list(enumerate(texts)), "best int, material string")
+    got = R.with_rule_response(df, "material", ["best"], "out").select("best", "out")
+    assert sorted(got.collect()) == sorted(df.select("best", rule_response(F.col("material"))).collect())
+
+
 def test_blank_guard_builds_the_text_once(spark):
     plan = _optimized(EX.guard_blank(FX.announcements_table(spark, SF), "text"))
     assert plan.count("Komunikat prasowy") == 1
